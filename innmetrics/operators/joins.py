@@ -1,0 +1,22 @@
+"""Joins that stay parallel when a key is hot."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left outer join for a right side with any number of rows per key.
+
+    Adaptive execution can split a hot key on both sides of an inner join but never on
+    the right of a left outer join, so the matches come from an inner join and the
+    unmatched rows from an anti join against the deduplicated right keys.
+    """
+    extra = [f for f in right.schema.fields if f.name not in keys]
+    matched = left.join(right, list(keys), "inner")
+    alone = left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    padded = alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return matched.unionByName(padded)
