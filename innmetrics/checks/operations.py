@@ -99,7 +99,7 @@ def incremental_upsert(i: Inputs):
 @check("stream_upsert", "SELECT * FROM user_latest", doubles="value")
 def stream_upsert(i: Inputs):
     table, _ = _user_table(i, "changes")
-    source = file_stream(i.spark, f"{i.sf_dir.rstrip('/')}/event*.parquet", testdata.EVENT_SCHEMA)
+    source = file_stream(i.spark, f"{i.sf_dir.rstrip('/')}/event*.parquet", testdata.RAW_SCHEMAS["events"])
     log = f"{table.root}/log"
     stream_changes(source.where(F.col("ts") >= F.lit(_SPLIT)), log, f"{table.root}/checkpoint", table.keys, _LATEST)
     return current_rows(i.spark, table.read(), log, table.keys, _LATEST)
@@ -112,7 +112,7 @@ def dedup_latest(i: Inputs):
 
 @check("stream_silver_clickstream", "SELECT * FROM silver_clicks")
 def stream_silver_clickstream(i: Inputs):
-    source = file_stream(i.spark, f"{i.sf_dir.rstrip('/')}/event*.parquet", testdata.EVENT_SCHEMA)
+    source = file_stream(i.spark, f"{i.sf_dir.rstrip('/')}/event*.parquet", testdata.RAW_SCHEMAS["events"])
     root = i.folder("ingest")
     ingest_clickstream(testdata.clickstream(source), f"{root}/silver", f"{root}/checkpoint")
     return i.spark.read.schema(i.market.silver_clickstream.schema).parquet(f"{root}/silver")

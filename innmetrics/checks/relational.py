@@ -419,7 +419,8 @@ def agg_sum(i: Inputs):
 
 @check(
     "agg_cond_avg",
-    """SELECT property_id, avg(CASE WHEN status = 'completed' THEN CAST(total_amount AS DOUBLE) END) AS completed_mean
+    """SELECT property_id, CAST(sum(total_amount) FILTER (WHERE status = 'completed') AS DOUBLE)
+                           / nullif(count(*) FILTER (WHERE status = 'completed'), 0) AS completed_mean
        FROM bookings GROUP BY property_id""",
     doubles="completed_mean",
 )

@@ -2,12 +2,12 @@
 
 A draw is a function of row ids, so a lost executor, a second action or another engine
 gives the same rows. ``rand()`` would give a new stream on every evaluation of the plan.
+Draws are built as SQL text: one expression is parsed where nested function calls would
+each be a round trip to the JVM.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,38 +15,42 @@ from pyspark.sql import functions as F
 MODULUS = 1_000_003
 
 
-def draw(stream: int, *ids: Column) -> Column:
-    """Uniform integer in [0, MODULUS) from integer ``ids``; ``stream`` keeps draws apart.
+def draw_sql(stream: int, *ids: str) -> str:
+    """Uniform integer in [0, MODULUS) from integer columns; ``stream`` keeps draws apart.
 
     The fifth power permutes the residues of this prime, which breaks up the straight
     lines a plain linear mix would leave between two streams.
     """
     terms = [
-        F.pmod(value.cast("bigint"), F.lit(MODULUS)) * F.lit(7919 + 7907 * stream + 104_729 * place)
-        for place, value in enumerate(ids)
+        f"pmod({name}, {MODULUS}L) * {7919 + 7907 * stream + 104_729 * place}"
+        for place, name in enumerate(ids)
     ]
-    mixed = F.pmod(reduce(lambda a, b: a + b, terms) + F.lit(15_485_863 * (stream + 1)), F.lit(MODULUS))
-    square = F.pmod(mixed * mixed, F.lit(MODULUS))
-    fourth = F.pmod(square * square, F.lit(MODULUS))
-    return F.pmod(fourth * mixed, F.lit(MODULUS))
+    mixed = f"pmod({' + '.join(terms)} + {15_485_863 * (stream + 1)}, {MODULUS}L)"
+    square = f"pmod({mixed} * {mixed}, {MODULUS}L)"
+    return f"pmod(pmod({square} * {square}, {MODULUS}L) * {mixed}, {MODULUS}L)"
+
+
+def draw(stream: int, *ids: str) -> Column:
+    return F.expr(draw_sql(stream, *ids))
 
 
-def below(stream: int, share: float, *ids: Column) -> Column:
-    """True with probability ``share``."""
-    return draw(stream, *ids) < F.lit(round(share * MODULUS))
+def scaled(stream: int, span: str | int, *ids: str) -> Column:
+    """Uniform integer in [0, span); ``span`` is a number or an integer column."""
+    return F.expr(f"{draw_sql(stream, *ids)} * cast({span} AS bigint) div {MODULUS}")
 
 
-def scaled(stream: int, span: Column | int, *ids: Column) -> Column:
-    """Uniform integer in [0, span); exact for spans up to 2**33."""
-    width = F.lit(span) if isinstance(span, int) else span
-    return F.floor(draw(stream, *ids) * width.cast("bigint") / F.lit(MODULUS))
+def first_below(steps: list[tuple[str, int, float]], otherwise: str, *ids: str) -> Column:
+    """The value of the first step (value, stream, share) whose draw falls below its share."""
+    cases = " ".join(
+        f"WHEN {draw_sql(stream, *ids)} < {round(share * MODULUS)} THEN '{value}'" for value, stream, share in steps
+    )
+    return F.expr(f"CASE {cases} ELSE '{otherwise}' END")
 
 
-def choose(stream: int, shares: list[tuple[str, float]], *ids: Column) -> Column:
+def choose(stream: int, shares: list[tuple[str, float]], *ids: str) -> Column:
     """One of the named values with the given shares (adding up to 1)."""
-    picked, reached = None, 0.0
+    steps, reached = [], 0.0
     for value, share in shares[:-1]:
         reached += share
-        limit = draw(stream, *ids) < F.lit(round(reached * MODULUS))
-        picked = F.when(limit, value) if picked is None else picked.when(limit, value)
-    return picked.otherwise(shares[-1][0])
+        steps.append((value, stream, reached))
+    return first_below(steps, shares[-1][0], *ids)

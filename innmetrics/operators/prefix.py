@@ -24,11 +24,12 @@ def count_before(
     NULL keys match nothing, as in an equi-join.
     """
     keys = list(keys)
-    known = events.where(" AND ".join(f"{k} IS NOT NULL" for k in [*keys, at]))
+    present = " AND ".join(f"{k} IS NOT NULL" for k in [*keys, "_at", "_slot"])
     steps = (
-        known.groupBy(*keys, F.col(at).alias("_at"))
+        events.select(*keys, F.col(at).alias("_at"), _slot(at).alias("_slot"))
+        .where(present)
+        .groupBy(*keys, "_at", "_slot")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_slot", _slot("_at"))
     )
     payload = F.struct(*[c for c in probes.columns if c not in keys])
     asks = probes.select(*keys, F.col(bound).alias("_at"), _slot(bound).alias("_slot"), payload.alias("_probe"))
@@ -42,10 +43,9 @@ def count_before(
 
     slots = (
         steps.select(*keys, "_slot", "_n")
-        .unionByName(asks.select(*keys, "_slot", F.lit(0).cast("bigint").alias("_n")))
+        .unionByName(asks.where(present).select(*keys, "_slot", F.lit(0).cast("bigint").alias("_n")))
         .groupBy(*keys, "_slot")
         .agg(F.sum("_n").alias("_n"))
-        .where(" AND ".join(f"{k} IS NOT NULL" for k in [*keys, "_slot"]))
     )
     earlier = F.sum("_n").over(
         Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)

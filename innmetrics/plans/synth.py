@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innmetrics.config import Config
-from innmetrics.functions.draws import below, choose, draw, scaled
+from innmetrics.functions.draws import choose, draw, first_below, scaled
 from innmetrics.operators.dense_index import dense_index
 
 HOUR, DAY = 3600, 86_400
@@ -63,29 +63,21 @@ def events_per_window(bookings: DataFrame) -> DataFrame:
     )
 
 
-def chained_device(stream: int, *ids: Column) -> Column:
+def chained_device(stream: int, *ids: str) -> Column:
     """Each step draws anew, so the shares are .50, .375 and .125."""
-    return (
-        F.when(below(stream, 0.50, *ids), "mobile").when(below(stream + 1, 0.75, *ids), "desktop").otherwise("tablet")
-    )
+    return first_below([("mobile", stream, 0.50), ("desktop", stream + 1, 0.75)], "tablet", *ids)
 
 
-def chained_referrer(stream: int, *ids: Column) -> Column:
+def chained_referrer(stream: int, *ids: str) -> Column:
     """Each step draws anew, so the shares are .40, .39, .1785 and .0315."""
-    return (
-        F.when(below(stream, 0.40, *ids), "google")
-        .when(below(stream + 1, 0.65, *ids), "direct")
-        .when(below(stream + 2, 0.85, *ids), "ad")
-        .otherwise("email")
-    )
+    steps = [("google", stream, 0.40), ("direct", stream + 1, 0.65), ("ad", stream + 2, 0.85)]
+    return first_below(steps, "email", *ids)
 
 
 def booking_events(bookings: DataFrame) -> DataFrame:
     """Views before each booking, at random offsets within the planned windows."""
-    ids = (F.col("booking_id"), F.col("event_seq"))
-    offset = F.col("min_offset_seconds") + scaled(
-        0, F.col("max_offset_seconds") - F.col("min_offset_seconds"), *ids
-    )
+    ids = ("booking_id", "event_seq")
+    offset = F.col("min_offset_seconds") + scaled(0, "(max_offset_seconds - min_offset_seconds)", *ids)
     return planned_events(bookings).select(
         "user_id",
         "property_id",
@@ -112,14 +104,14 @@ def within_booking_range(events: DataFrame, bookings: DataFrame) -> DataFrame:
 
 def sample_pairs(bookings: DataFrame, count: int) -> DataFrame:
     """A repeatable random sample of user/property pairs that booked."""
-    order = draw(6, F.col("user_id"), F.col("property_id"))
+    order = draw(6, "user_id", "property_id")
     return bookings.select("user_id", "property_id").distinct().orderBy(order, "user_id", "property_id").limit(count)
 
 
 def prelaunch_events(bookings: DataFrame, config: Config) -> DataFrame:
     """Views of sampled pairs in the week before the first booking. A pair keeps one
     device and referrer; each of its events has its own time."""
-    pair = (F.col("user_id"), F.col("property_id"))
+    pair = ("user_id", "property_id")
     first = F.unix_seconds(booking_range(bookings).select("first_booking").scalar())
     pairs = sample_pairs(bookings, config.prelaunch_pairs).select(
         *pair,
@@ -131,7 +123,7 @@ def prelaunch_events(bookings: DataFrame, config: Config) -> DataFrame:
     return numbered.select(
         *pair,
         F.lit("view").alias("event"),
-        F.timestamp_seconds(first - 7 * DAY + scaled(12, 7 * DAY, *pair, F.col("event_num"))).alias("timestamp"),
+        F.timestamp_seconds(first - 7 * DAY + scaled(12, 7 * DAY, *pair, "event_num")).alias("timestamp"),
         "metadata",
     )
 
@@ -146,17 +138,17 @@ def browse_only_events(bookings: DataFrame, config: Config) -> DataFrame:
     """One to six views per browse-only user, on properties that have bookings."""
     floor = config.browse_user_floor
     properties = dense_index(bookings.where("property_id IS NOT NULL"), "property_id", name="place")
-    choices = properties.agg(F.count("*").alias("n")).scalar()
+    choices = bookings.agg(F.countDistinct("property_id").alias("n")).scalar().alias("choices")
     users = bookings.sparkSession.range(floor, floor + browse_only_users(bookings, config)).withColumnRenamed(
         "id", "user_id"
     )
-    number = F.explode(F.sequence(F.lit(0).cast("bigint"), draw(13, F.col("user_id")) % 6))
-    ids = (F.col("user_id"), F.col("event_num"))
+    number = F.explode(F.sequence(F.lit(0).cast("bigint"), draw(13, "user_id") % 6))
+    ids = ("user_id", "event_num")
     span = int((config.browse_end - config.browse_start).total_seconds())
     start = F.unix_seconds(F.lit(config.browse_start.isoformat(sep=" ") + " UTC").cast("timestamp"))
-    views = users.withColumn("event_num", number).select(
+    views = users.select("*", number.alias("event_num")).select("*", choices).select(
         "user_id",
-        scaled(14, choices, *ids).alias("place"),
+        scaled(14, "choices", *ids).alias("place"),
         F.timestamp_seconds(start + scaled(15, span, *ids)).alias("timestamp"),
         F.struct(
             choose(16, DEVICE_SHARES, *ids).alias("device"), choose(17, REFERRER_SHARES, *ids).alias("referrer")
