@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from innmetrics.checks.registry import Inputs, check
+from innmetrics.operators.quality import report
 from innmetrics.plans import explore, performance, silver, synth, validate
+from innmetrics.plans.funnels import FUNNEL_RULES
 from innmetrics.plans.pipeline import quality_report
 
 # ------------------------------------------------------------------------ silver, gold
@@ -61,8 +63,8 @@ def property_performance(i: Inputs):
 def property_revenue_clean(i: Inputs):
     m = i.market
     pairs = performance.viewer_pairs(m.silver_clickstream)
-    viewed = performance.viewed_bookings(m.silver_bookings_enriched, pairs, m.date_boundaries)
-    return performance.property_revenue_clean(viewed)
+    facts = performance.booking_facts(m.tables, pairs, m.date_boundaries, i.config.today())
+    return performance.property_revenue_clean(facts)
 
 
 _LIFT_DOUBLES = " ".join(
@@ -430,8 +432,6 @@ def quality_report_query(i: Inputs):
 
 @check("quality_drop", f"{_CLICK_REPORT}")
 def quality_drop(i: Inputs):
-    from innmetrics.operators.quality import report
-
     return report(silver.flat_clickstream(i.tables.clickstream), "silver_clickstream", silver.CLICKSTREAM_RULES)
 
 
@@ -446,7 +446,4 @@ def quality_fail(i: Inputs):
 
 @check("quality_warn", _report_sql("city_funnel", "city_funnel", "warn", **_FUNNEL_RULES))
 def quality_warn(i: Inputs):
-    from innmetrics.operators.quality import report
-    from innmetrics.plans.funnels import FUNNEL_RULES
-
     return report(i.market.city_funnel, "city_funnel", FUNNEL_RULES)

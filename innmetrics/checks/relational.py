@@ -12,6 +12,7 @@ from innmetrics.operators.distinct import count_members
 from innmetrics.operators.ranking import top_per_key
 from innmetrics.operators.share import count_shares
 from innmetrics.plans import explore, funnels, performance, segments, silver, synth, validate
+from innmetrics.plans.amenity import property_conversion
 from innmetrics.plans.monitoring import json_field, json_merge
 
 # ---------------------------------------------------------------- scans and projections
@@ -327,12 +328,8 @@ def bridge_membership(i: Inputs):
     doubles="initiation confirmation completion",
 )
 def join_subquery(i: Inputs):
-    from innmetrics.plans.amenity import property_conversion
-
     m = i.market
-    return property_conversion(
-        m.tables, m.silver_clickstream, m.silver_bookings_enriched, m.date_boundaries, i.config
-    )
+    return property_conversion(m.tables, m.silver_clickstream, m.date_boundaries, i.config)
 
 
 @check(

@@ -74,11 +74,17 @@ def attributed_bookings(
     A booking has one row per payment in the silver table; the touch is the same for all
     of them, and of the payments the first status in alphabetical order is kept.
     """
-    columns = ["booking_id", "user_id", "city", "booking_created_at", "booking_status", "check_out"]
-    windowed = silver_bookings.where(in_booking_window("booking_date", boundaries))
-    moments = windowed.groupBy(*columns).agg(F.min("payment_status").alias("payment_status"))
+    moments = silver_bookings.where(in_booking_window("booking_date", boundaries)).select(
+        "booking_id",
+        "user_id",
+        "city",
+        "booking_created_at",
+        "booking_status",
+        "payment_status",
+        "check_out",
+    )
     touched = last_touch(
-        moments,
+        moments.distinct(),
         silver_clicks.select("user_id", "timestamp", "device"),
         key="user_id",
         moment="booking_created_at",

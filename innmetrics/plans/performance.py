@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innmetrics.config import Config
-from innmetrics.functions.measures import is_completed, is_confirmed, is_view, safe_rate
-from innmetrics.operators.distinct import count_members
+from innmetrics.functions.measures import is_confirmed, is_view, safe_rate
 from innmetrics.operators.quality import Constraint
 from innmetrics.plans.silver import in_booking_window, listings
 from innmetrics.sources.tables import MarketTables
@@ -39,63 +38,76 @@ def property_traffic(pairs: DataFrame) -> DataFrame:
     )
 
 
-def viewed_bookings(silver_bookings: DataFrame, pairs: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """Bookings in the window whose user viewed or clicked that property at any time."""
-    return silver_bookings.where(in_booking_window("booking_date", boundaries)).join(
-        pairs, ["user_id", "property_id"]
+def payment_facts(payments: DataFrame) -> DataFrame:
+    """One row per booking: payment rows, distinct and failed payments, and whether any
+    payment completed. A payment id belongs to one booking."""
+    status = F.col("status")
+    once = payments.groupBy("booking_id", "payment_id").agg(
+        F.count("*").alias("rows"),
+        F.bool_or(status == "failed").alias("failed"),
+        F.bool_or(status == "completed").alias("completed"),
     )
+    known = F.col("payment_id").isNotNull()
+    return once.groupBy("booking_id").agg(
+        F.sum("rows").alias("payment_rows"),
+        F.count_if(known).alias("total_payments"),
+        F.count_if(known & F.col("failed")).alias("failed_payments"),
+        F.bool_or("completed").alias("paid"),
+    )
+
 
+def booking_facts(tables: MarketTables, pairs: DataFrame, boundaries: DataFrame, today: Column) -> DataFrame:
+    """One row per property and booking in the window whose user viewed or clicked that
+    property at any time.
 
-def booking_stats(viewed: DataFrame, today: Column) -> DataFrame:
-    """Distinct bookings per property and stage."""
-    return count_members(
-        viewed,
-        ["property_id"],
-        "booking_id",
-        {
-            "initiated_bookings": F.lit(True),
-            "confirmed_bookings": is_confirmed(),
-            "completed_bookings": is_completed(today),
-            "cancelled_bookings": F.col("booking_status") == "cancelled",
-        },
+    ``revenue`` is the confirmed amount once per payment row and per touch of the user:
+    the sum that joining bookings, payments and events row by row would give.
+    ``amount`` is the confirmed amount once.
+    """
+    status = F.col("status")
+    confirmed = F.when(status == "confirmed", F.col("total_amount"))
+    weight = F.col("touches") * F.greatest(F.coalesce("payment_rows", F.lit(1)), F.lit(1))
+    return (
+        tables.bookings.where(in_booking_window(F.to_date("created_at"), boundaries))
+        .select("booking_id", "user_id", "property_id", "status", "total_amount", "check_out")
+        .join(pairs, ["user_id", "property_id"])
+        .join(payment_facts(tables.payments), "booking_id", "left")
+        .groupBy("property_id", "booking_id")
+        .agg(
+            F.bool_or(is_confirmed("status")).alias("confirmed"),
+            F.bool_or((status == "completed") & F.col("paid") & (F.col("check_out") < today)).alias("completed"),
+            F.bool_or(status == "cancelled").alias("cancelled"),
+            F.sum(F.coalesce(confirmed * weight, F.lit(0))).cast("decimal(38,2)").alias("revenue"),
+            F.max(confirmed).alias("amount"),
+            F.max("total_payments").alias("total_payments"),
+            F.max("failed_payments").alias("failed_payments"),
+        )
     )
 
 
-def booking_revenue(viewed: DataFrame) -> DataFrame:
-    """Confirmed amounts per property, counted once per payment row and per touch of the
-    user. The weight ``touches`` gives the sum the pairwise join would give."""
-    weighted = F.when(F.col("booking_status") == "confirmed", F.col("total_amount") * F.col("touches"))
-    return viewed.groupBy("property_id").agg(
-        F.sum(F.coalesce(weighted, F.lit(0))).cast("decimal(38,2)").alias("total_revenue")
+def property_bookings(facts: DataFrame) -> DataFrame:
+    """Distinct bookings per stage, payments and revenue per property."""
+    known = F.col("booking_id").isNotNull()
+    return facts.groupBy("property_id").agg(
+        F.count_if(known).alias("initiated_bookings"),
+        F.count_if(known & F.col("confirmed")).alias("confirmed_bookings"),
+        F.count_if(known & F.col("completed")).alias("completed_bookings"),
+        F.count_if(known & F.col("cancelled")).alias("cancelled_bookings"),
+        F.sum("total_payments").alias("total_payments"),
+        F.sum("failed_payments").alias("failed_payments"),
+        F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
     )
 
 
-def property_revenue_clean(viewed: DataFrame) -> DataFrame:
+def property_revenue_clean(facts: DataFrame) -> DataFrame:
     """Confirmed revenue per property with every booking counted once."""
-    once = viewed.where("booking_status = 'confirmed'").groupBy("property_id", "booking_id")
     return (
-        once.agg(F.max("total_amount").alias("amount"))
+        facts.where("amount IS NOT NULL")
         .groupBy("property_id")
         .agg(F.sum("amount").cast("decimal(38,2)").alias("revenue"), F.count("booking_id").alias("bookings"))
     )
 
 
-def payment_stats(tables: MarketTables, pairs: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """Distinct payments and failed payments per property, for bookings by its viewers."""
-    booked = (
-        tables.bookings.where(in_booking_window(F.to_date("created_at"), boundaries))
-        .select("booking_id", "user_id", "property_id")
-        .join(pairs.select("user_id", "property_id"), ["user_id", "property_id"])
-    )
-    paid = booked.join(tables.payments.select("booking_id", "payment_id", "status"), "booking_id")
-    return count_members(
-        paid,
-        ["property_id"],
-        "payment_id",
-        {"failed_payments": F.col("status") == "failed", "total_payments": F.lit(True)},
-    )
-
-
 def review_stats(reviews: DataFrame) -> DataFrame:
     return (
         reviews.where(F.col("is_deleted") == F.lit(False))
@@ -105,14 +117,15 @@ def review_stats(reviews: DataFrame) -> DataFrame:
 
 
 def property_performance(
-    tables: MarketTables, silver_clicks: DataFrame, silver_bookings: DataFrame, boundaries: DataFrame, config: Config
+    tables: MarketTables, silver_clicks: DataFrame, boundaries: DataFrame, config: Config
 ) -> DataFrame:
     """Traffic, booking stages, payments, revenue and reviews per property with traffic.
 
-    Every fact is reduced to one row per property before it meets the others.
+    Every fact is reduced to one row per property before it meets the others, and the
+    clickstream is shuffled once, for traffic and bookings alike.
     """
     pairs = viewer_pairs(silver_clicks)
-    viewed = viewed_bookings(silver_bookings, pairs, boundaries)
+    facts = booking_facts(tables, pairs, boundaries, config.today())
 
     def count(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))
@@ -132,9 +145,7 @@ def property_performance(
     return (
         listings(tables)
         .join(property_traffic(pairs), "property_id")
-        .join(booking_stats(viewed, config.today()), "property_id", "left")
-        .join(booking_revenue(viewed), "property_id", "left")
-        .join(payment_stats(tables, pairs, boundaries), "property_id", "left")
+        .join(property_bookings(facts), "property_id", "left")
         .join(review_stats(tables.reviews), "property_id", "left")
         .select(
             "property_id",

@@ -37,12 +37,12 @@ class Marketplace:
         return silver.located_properties(self.tables)
 
     @property
-    def _facts(self) -> tuple[DataFrame, DataFrame]:
+    def _silver(self) -> tuple[DataFrame, DataFrame]:
         return self.silver_clickstream, self.silver_bookings_enriched
 
     @cached_property
     def city_funnel(self) -> DataFrame:
-        return funnels.city_funnel(*self._facts, self.places, self.date_boundaries, self.config)
+        return funnels.city_funnel(*self._silver, self.places, self.date_boundaries, self.config)
 
     @cached_property
     def city_investment(self) -> DataFrame:
@@ -50,11 +50,13 @@ class Marketplace:
 
     @cached_property
     def property_performance(self) -> DataFrame:
-        return performance.property_performance(self.tables, *self._facts, self.date_boundaries, self.config)
+        return performance.property_performance(
+            self.tables, self.silver_clickstream, self.date_boundaries, self.config
+        )
 
     @cached_property
     def amenity_lift(self) -> DataFrame:
-        return amenity.amenity_lift(self.tables, *self._facts, self.date_boundaries, self.config)
+        return amenity.amenity_lift(self.tables, self.silver_clickstream, self.date_boundaries, self.config)
 
     @cached_property
     def amenity_city_top(self) -> DataFrame:
@@ -62,7 +64,7 @@ class Marketplace:
 
     @cached_property
     def device_funnel(self) -> DataFrame:
-        return funnels.device_funnel(*self._facts, self.places, self.date_boundaries, self.config)
+        return funnels.device_funnel(*self._silver, self.places, self.date_boundaries, self.config)
 
     @cached_property
     def device_diagnosis(self) -> DataFrame:

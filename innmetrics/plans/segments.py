@@ -28,12 +28,14 @@ def city_medians(totals: DataFrame) -> DataFrame:
 
 def city_investment(funnel: DataFrame, silver_bookings: DataFrame) -> DataFrame:
     totals = city_totals(funnel)
-    medians = city_medians(totals)
+    # One subquery for both medians: taken apart, each would prune the funnel below it
+    # differently and compute it again.
+    medians = city_medians(totals).select(F.struct("median_viewers", "median_conversion")).scalar()
     booking_value = (
         silver_bookings.where("booking_status = 'confirmed'").agg(exact_mean(F.col("total_amount")).alias("value")).scalar()
     )
-    busy = F.col("total_viewers") >= medians.select("median_viewers").scalar()
-    converting = F.col("conversion_rate") >= medians.select("median_conversion").scalar()
+    busy = F.col("total_viewers") >= medians["median_viewers"]
+    converting = F.col("conversion_rate") >= medians["median_conversion"]
     return totals.select(
         "city",
         "total_viewers",

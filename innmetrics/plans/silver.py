@@ -123,8 +123,9 @@ def date_boundaries(silver_clicks: DataFrame) -> DataFrame:
 def in_booking_window(day: str | Column, boundaries: DataFrame) -> Column:
     """Predicate for days within the clickstream's dates, both ends included.
 
-    The bounds are scalar subqueries, so they act as constants of the scan's filter and
+    The bounds are a scalar subquery, so they act as constants of the scan's filter and
     no join is needed; with no clickstream they are NULL and nothing passes.
     """
     column = F.col(day) if isinstance(day, str) else day
-    return column.between(boundaries.select("min_date").scalar(), boundaries.select("max_date").scalar())
+    bounds = boundaries.select(F.struct("min_date", "max_date")).scalar()
+    return column.between(bounds["min_date"], bounds["max_date"])

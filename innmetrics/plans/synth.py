@@ -95,10 +95,10 @@ def booking_range(bookings: DataFrame) -> DataFrame:
 
 def within_booking_range(events: DataFrame, bookings: DataFrame) -> DataFrame:
     """Events from the first booking on until ten seconds before the last one."""
-    reach = booking_range(bookings)
+    reach = booking_range(bookings).select(F.struct("first_booking", "last_booking")).scalar()
     return events.where(
-        (F.col("timestamp") >= reach.select("first_booking").scalar())
-        & (F.col("timestamp") < reach.select(F.expr("last_booking - INTERVAL 10 SECONDS")).scalar())
+        (F.col("timestamp") >= reach["first_booking"])
+        & (F.col("timestamp") < reach["last_booking"] - F.expr("INTERVAL 10 SECONDS"))
     )
 
 
