@@ -70,6 +70,11 @@ class Marketplace:
     def device_diagnosis(self) -> DataFrame:
         return segments.device_diagnosis(self.device_funnel, self.config)
 
+    def create_views(self, prefix: str = "") -> None:
+        """Temporary views of all datasets, for SQL."""
+        for name in ("date_boundaries", *WARNING_RULES):
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+
 
 #: Tables in build order, with the rules that only warn.
 WARNING_RULES: dict[str, tuple[Constraint, ...]] = {
@@ -84,6 +89,9 @@ WARNING_RULES: dict[str, tuple[Constraint, ...]] = {
     "device_diagnosis": (),
 }
 
+#: Tables stored by date, so that the booking window and other date filters prune files.
+PARTITIONED = {"silver_clickstream": "event_date"}
+
 
 def refresh(market: Marketplace, root: str) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
     """Writes every table below ``root`` and returns them with their violation counts.
@@ -102,8 +110,10 @@ def refresh(market: Marketplace, root: str) -> tuple[dict[str, DataFrame], dict[
         if rules:
             rows, observation = observed(rows, rules, name)
         writer = rows.write.mode("overwrite")
-        if name == "silver_clickstream":
-            writer = writer.partitionBy("event_date")
+        if name in PARTITIONED:
+            # Rebalancing gathers a date's rows in few files and splits a date that is too
+            # big for one; otherwise every task would leave a file for every date.
+            writer = rows.hint("rebalance", PARTITIONED[name]).write.mode("overwrite").partitionBy(PARTITIONED[name])
         writer.parquet(path)
         if rules:
             violations[name] = observation.get

@@ -69,8 +69,10 @@ class ServingTable:
 
     def merge(self, changes: DataFrame, latest: Sequence[str]) -> None:
         """Folds changed rows in: per key the row with the highest ``latest`` stays, and
-        among equals the change. One stacked shuffle by key, no join with the table."""
-        self.snapshot(newest(self.read(), changes, self.keys, latest))
+        among equals the change. One stacked shuffle by key, no join with the table. The
+        first merge starts the table."""
+        base = self.read() if self.exists() else changes.limit(0)
+        self.snapshot(newest(base, changes, self.keys, latest))
 
     def _move(self, path: str, written: DataFrame) -> None:
         if self.exists() and self.read().schema.simpleString() != written.schema.simpleString():
@@ -134,6 +136,18 @@ def sync_all(
     return counts
 
 
+def publish_jdbc(
+    rows: DataFrame, url: str, table: str, keys: Sequence[str], connections: int = 16, **options: str
+) -> None:
+    """Replaces a database table; keys are checked first, because the database would only
+    notice a repeated key halfway. At most ``connections`` tasks write at a time."""
+    repeated = duplicate_keys(rows, keys).limit(1).collect()
+    if repeated:
+        raise DuplicateKeyError(f"{table}: key {tuple(keys)} repeats, for example {repeated[0]}")
+    writer = rows.coalesce(connections).write.format("jdbc").mode("overwrite")
+    writer.options(url=url, dbtable=table, truncate="true", **options).save()
+
+
 def insert_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.unionByName(rows)
 
