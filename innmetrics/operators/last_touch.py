@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from innmetrics.operators.skew import LIGHT_ROWS, heavy_keys, split_heavy
+
+#: Minutes of one time slot of a heavy key.
 SLOT_MINUTES = 1
 
+_THROUGH = (Window.unboundedPreceding, Window.currentRow)
+
 
 def last_touch(
     moments: DataFrame,
@@ -18,70 +21,77 @@ def last_touch(
     at: str,
     value: str,
     hours: int = 24,
-    slot_minutes: int = SLOT_MINUTES,
+    light_rows: int = LIGHT_ROWS,
 ) -> DataFrame:
     """Moments with the latest touch of the same key in [moment - hours, moment].
 
     Adds ``value`` and ``at`` of that touch; moments without one are left out. Of touches
     at the same time the smallest ``value`` wins.
 
-    No pair of moment and touch is formed. Time is cut into slots: within a slot a running
-    ``last`` carries the touch forward; a moment without an earlier touch in its own slot
-    takes the closing touch of the latest slot before it. Touches of a key at one time are
-    merged first, which bounds a slot by its length, and a day by its number of slots,
-    however hot the key.
+    No pair of moment and touch is formed. Light keys carry the latest touch forward over
+    the stacked rows of the key, which takes one shuffle. Heavy keys are cut into time
+    slots first, see ``_in_slots``.
     """
-    slot_micros = slot_minutes * 60_000_000
-    known = touches.where(F.col(key).isNotNull() & F.col(value).isNotNull() & F.col(at).isNotNull())
-    steps = (
-        known.groupBy(key, F.col(at).alias("_at"))
-        .agg(F.min(value).alias("_value"))
-        .select(key, _slot("_at", slot_micros).alias("_slot"), F.struct("_at", "_value").alias("_touch"))
+    steps = touches.where(F.col(key).isNotNull() & F.col(value).isNotNull() & F.col(at).isNotNull()).select(
+        key, F.col(at).alias("_at"), F.col(value).alias("_value")
     )
-    payload = F.struct(*moments.columns)
     asks = moments.where(F.col(key).isNotNull() & F.col(moment).isNotNull()).select(
-        key, _slot(moment, slot_micros).alias("_slot"), F.col(moment).alias("_at"), payload.alias("_moment")
+        key, F.col(moment).alias("_at"), F.struct(*moments.columns).alias("_moment")
     )
-
-    running = (Window.unboundedPreceding, Window.currentRow)
-    lane = (
-        Window.partitionBy(key, "_slot").orderBy("_at", F.col("_moment").isNotNull()).rowsBetween(*running)
+    heavy = heavy_keys(steps.select(key).unionByName(asks.select(key)), [key], light_rows)
+    light_steps, heavy_steps = split_heavy(steps, heavy, [key])
+    light_asks, heavy_asks = split_heavy(asks, heavy, [key])
+    found = _carried(light_steps, light_asks, [key]).unionByName(_in_slots(heavy_steps, heavy_asks, key, hours))
+    return found.where(F.col("_touch._at") >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")).select(
+        "_moment.*", F.col("_touch._value").alias(value), F.col("_touch._at").alias(at)
     )
-    merged = steps.select(key, "_slot", F.col("_touch._at").alias("_at"), "_touch").unionByName(
-        asks, allowMissingColumns=True
+
+
+def _carried(steps: DataFrame, asks: DataFrame, lane: list[str]) -> DataFrame:
+    """Each ask with the last step at or before it within its lane, or NULL."""
+    marked = steps.select(*lane, "_at", "_value", F.struct("_at", "_value").alias("_step"))
+    order = Window.partitionBy(*lane).orderBy(
+        F.col("_at"), F.col("_moment").isNotNull(), F.col("_value").desc()
     )
-    here = (
-        merged.withColumn("_here", F.last("_touch", ignorenulls=True).over(lane))
+    touch = F.last("_step", ignorenulls=True).over(order.rowsBetween(*_THROUGH))
+    return (
+        marked.unionByName(asks, allowMissingColumns=True)
+        .withColumn("_touch", touch)
         .where("_moment IS NOT NULL")
-        .select(key, "_slot", "_at", "_moment", "_here")
+        .select(*lane, "_at", "_moment", "_touch")
     )
 
-    closing = steps.groupBy(key, "_slot").agg(F.max("_touch").alias("_touch"))
-    first_day = _day("_slot", slot_minutes)
-    reachable = closing.select(
-        key, "_slot", "_touch", F.explode(F.sequence(first_day, first_day + -(-hours // 24))).alias("_day")
+
+def _in_slots(steps: DataFrame, asks: DataFrame, key: str, hours: int) -> DataFrame:
+    """The last touch within the moment's time slot, else the closing touch of the latest
+    slot before it.
+
+    Touches of a key at one time are merged first, which bounds a slot by its length. The
+    closing touches are looked up per key and day; each is offered to its own day and the
+    days it can reach.
+    """
+    slot = F.expr(f"unix_micros(cast(_at AS timestamp)) div {SLOT_MINUTES * 60_000_000}")
+    merged = steps.withColumn("_slot", slot).groupBy(key, "_slot", "_at").agg(F.min("_value").alias("_value"))
+    asks = asks.withColumn("_slot", slot)
+    here = _carried(merged, asks, [key, "_slot"])
+
+    closing = merged.groupBy(key, "_slot").agg(F.max(F.struct("_at", "_value")).alias("_closing"))
+    first_day = _day()
+    offered = closing.select(
+        "*", F.explode(F.sequence(first_day, first_day + -(-hours // 24))).alias("_day")
     )
-    asked = asks.select(key, "_slot", _day("_slot", slot_minutes).alias("_day")).distinct()
-    day = Window.partitionBy(key, "_day").orderBy("_slot", F.col("_touch").isNotNull()).rowsBetween(*running)
+    wanted = asks.select(key, "_slot").distinct().withColumn("_day", _day())
+    day = Window.partitionBy(key, "_day").orderBy("_slot", F.col("_closing").isNotNull()).rowsBetween(*_THROUGH)
     before = (
-        reachable.unionByName(asked, allowMissingColumns=True)
-        .withColumn("_before", F.last("_touch", ignorenulls=True).over(day))
-        .where("_touch IS NULL AND _before IS NOT NULL")
+        offered.unionByName(wanted, allowMissingColumns=True)
+        .withColumn("_before", F.last("_closing", ignorenulls=True).over(day))
+        .where("_closing IS NULL AND _before IS NOT NULL")
         .select(key, "_slot", "_before")
     )
-
-    touch = F.coalesce("_here", "_before")
-    return (
-        here.join(before, [key, "_slot"], "left")
-        .select("_moment.*", touch["_value"].alias(value), touch["_at"].alias(at), "_at")
-        .where(F.col(at) >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS"))
-        .drop("_at")
+    return here.join(before, [key, "_slot"], "left").select(
+        key, "_at", "_moment", F.coalesce("_touch", "_before").alias("_touch")
     )
 
 
-def _slot(column: str, micros: int) -> Column:
-    return F.expr(f"unix_micros(cast({column} AS timestamp)) div {micros}")
-
-
-def _day(column: str, slot_minutes: int) -> Column:
-    return F.expr(f"{column} * {slot_minutes} div 1440")
+def _day() -> Column:
+    return F.expr(f"_slot * {SLOT_MINUTES} div 1440")

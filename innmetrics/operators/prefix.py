@@ -7,58 +7,82 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Microseconds of one time slot.
+from innmetrics.operators.skew import LIGHT_ROWS, heavy_keys, split_heavy
+
+#: Microseconds of one time slot of a heavy key.
 SLOT = 3_600_000_000
 
+_BEFORE = (Window.unboundedPreceding, -1)
+_THROUGH = (Window.unboundedPreceding, Window.currentRow)
+
 
 def count_before(
-    probes: DataFrame, events: DataFrame, keys: Sequence[str], bound: str, at: str, name: str = "events_before"
+    probes: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    bound: str,
+    at: str,
+    name: str = "events_before",
+    light_rows: int = LIGHT_ROWS,
 ) -> DataFrame:
     """Adds to each probe how many events of the same keys have ``at`` < ``bound``.
 
     Both times are microseconds. The number of events between two times is the difference
     of two such counts, so a range join that only feeds counts never has to form its
-    pairs: work is linear in events plus probes. Keys are cut into time slots: a running
-    count inside each slot plus the total of the slots before it. A key holding much of
-    the data is therefore spread over its slots; what is left per key is one row per slot.
-    NULL keys match nothing, as in an equi-join.
+    pairs: work is linear in events plus probes. NULL keys match nothing, as in an
+    equi-join.
+
+    Light keys take one running count over the stacked rows of a key. Heavy keys are cut
+    into time slots first, see ``_count_in_slots``.
     """
     keys = list(keys)
-    present = " AND ".join(f"{k} IS NOT NULL" for k in [*keys, "_at", "_slot"])
-    steps = (
-        events.select(*keys, F.col(at).alias("_at"), _slot(at).alias("_slot"))
-        .where(present)
-        .groupBy(*keys, "_at", "_slot")
-        .agg(F.count("*").alias("_n"))
-    )
+    present = " AND ".join(f"{column} IS NOT NULL" for column in [*keys, "_at"])
+    steps = events.select(*keys, F.col(at).alias("_at")).where(present)
     payload = F.struct(*[c for c in probes.columns if c not in keys])
-    asks = probes.select(*keys, F.col(bound).alias("_at"), _slot(bound).alias("_slot"), payload.alias("_probe"))
+    asks = probes.select(*keys, F.col(bound).alias("_at"), payload.alias("_probe"))
+    answerable = asks.where(present)
 
-    lane = Window.partitionBy(*keys, "_slot").orderBy(F.col("_at"), F.col("_probe").isNull())
-    inside = F.sum("_n").over(lane.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    merged = steps.withColumn("_probe", F.lit(None).cast(asks.schema["_probe"].dataType)).unionByName(
-        asks.withColumn("_n", F.lit(0).cast("bigint"))
+    heavy = heavy_keys(steps.select(*keys).unionByName(answerable.select(*keys)), keys, light_rows)
+    light_steps, heavy_steps = split_heavy(steps, heavy, keys)
+    light_asks, heavy_asks = split_heavy(answerable, heavy, keys)
+    none = asks.where(f"NOT ({present})").withColumn("_count", F.lit(0).cast("bigint"))
+    counted = (
+        _running(light_steps.withColumn("_n", F.lit(1).cast("bigint")), light_asks, keys)
+        .unionByName(_count_in_slots(heavy_steps, heavy_asks, keys))
+        .unionByName(none.select(*keys, "_probe", "_count"))
     )
-    answered = merged.withColumn("_inside", inside).where("_probe IS NOT NULL")
+    return counted.select(*keys, "_probe.*", F.col("_count").alias(name))
 
-    slots = (
-        steps.select(*keys, "_slot", "_n")
-        .unionByName(asks.where(present).select(*keys, "_slot", F.lit(0).cast("bigint").alias("_n")))
-        .groupBy(*keys, "_slot")
-        .agg(F.sum("_n").alias("_n"))
-    )
-    earlier = F.sum("_n").over(
-        Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    shifts = slots.select(*keys, "_slot", earlier.alias("_earlier"))
-    known_key = F.lit(True)
-    for key in keys:
-        known_key = known_key & F.col(key).isNotNull()
-    total = F.when(known_key, F.coalesce("_inside", F.lit(0)) + F.coalesce("_earlier", F.lit(0))).otherwise(0)
-    return answered.join(shifts, [*keys, "_slot"], "left").select(
-        *keys, "_probe.*", total.cast("bigint").alias(name)
+
+def _running(steps: DataFrame, asks: DataFrame, lane: Sequence[str]) -> DataFrame:
+    """Running sum of ``_n`` before each ask within its lane."""
+    order = Window.partitionBy(*lane).orderBy(F.col("_at"), F.col("_probe").isNull())
+    stacked = asks.withColumn("_n", F.lit(0).cast("bigint")).unionByName(steps, allowMissingColumns=True)
+    return (
+        stacked.withColumn("_count", F.sum("_n").over(order.rowsBetween(*_THROUGH)))
+        .where("_probe IS NOT NULL")
+        .select(*lane, "_probe", "_count")
     )
 
 
-def _slot(column: str) -> Column:
-    return F.expr(f"{column} div {SLOT}")
+def _count_in_slots(steps: DataFrame, asks: DataFrame, keys: list[str]) -> DataFrame:
+    """The count within a time slot plus the total of the key's slots before it.
+
+    Events of a key at one time are merged before they meet, so neither many copies of a
+    row nor a key with much of the data end up in one task; what is left per key is one
+    row per slot.
+    """
+    slot = F.expr(f"_at div {SLOT}")
+    merged = steps.withColumn("_slot", slot).groupBy(*keys, "_slot", "_at").agg(F.count("*").alias("_n"))
+    asks = asks.withColumn("_slot", slot)
+    within = _running(merged, asks, [*keys, "_slot"])
+    totals = (
+        merged.select(*keys, "_slot", "_n")
+        .unionByName(asks.select(*keys, "_slot", F.lit(0).cast("bigint").alias("_n")))
+        .groupBy(*keys, "_slot")
+        .agg(F.sum("_n").alias("_n"))
+    )
+    earlier = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slot").rowsBetween(*_BEFORE))
+    shifts = totals.select(*keys, "_slot", earlier.alias("_earlier"))
+    count: Column = F.col("_count") + F.coalesce("_earlier", F.lit(0))
+    return within.join(shifts, [*keys, "_slot"], "left").select(*keys, "_probe", count.alias("_count"))

@@ -1,0 +1,39 @@
+"""Telling heavy keys from light ones."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: A key with at most so many rows is light whatever the size of the input.
+LIGHT_ROWS = 1_000_000
+#: Fewer keys than this can be heavy, since each holds more than 1/HEAVY_KEYS of all rows.
+HEAVY_KEYS = 10_000
+
+
+def heavy_keys(rows: DataFrame, keys: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
+    """Keys with more rows than one task should take: over ``light_rows`` and over
+    1/HEAVY_KEYS of the input. The result is therefore small enough to broadcast.
+
+    Counting combines within each input task, so it shuffles keys and not rows.
+    """
+    counts = rows.select(*keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    share = F.ceil(F.sum("_rows") / HEAVY_KEYS)
+    limit = counts.agg(F.greatest(F.lit(light_rows), share).alias("limit")).scalar()
+    return counts.where(F.col("_rows") > limit).select(*keys)
+
+
+def split_heavy(rows: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of light keys and rows of heavy keys.
+
+    The mark comes from an outer join because a semi or anti join would be pushed below
+    an aggregation in ``rows``, and the two halves could no longer share its shuffle.
+    """
+    mark = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+    marked = rows.join(mark, list(keys), "left")
+    return (
+        marked.where("_heavy IS NULL").drop("_heavy").select(*rows.columns),
+        marked.where("_heavy IS NOT NULL").drop("_heavy").select(*rows.columns),
+    )

@@ -16,6 +16,7 @@ from innmetrics.operators.prefix import count_before
 from innmetrics.operators.quality import DROP, FAIL, Constraint, enforce, observed, report
 from innmetrics.operators.ranking import top_per_key
 from innmetrics.operators.share import count_shares
+from innmetrics.operators.skew import heavy_keys, split_heavy
 from innmetrics.plans import synth
 
 START = datetime(2024, 1, 1)
@@ -31,8 +32,13 @@ def _user(rng: random.Random):
     return rng.choice([7, 7, 7, 1, 2, 3, None])
 
 
-@pytest.mark.parametrize("seed, hours", [(1, 24), (2, 24), (3, 5), (4, 30)])
-def test_last_touch_equals_brute_force(spark, seed, hours):
+LIGHT, MIXED, HEAVY = 1_000_000, 150, 0  # rows up to which a key is light
+
+
+@pytest.mark.parametrize(
+    "seed, hours, light_rows", [(1, 24, LIGHT), (2, 24, MIXED), (3, 5, HEAVY), (4, 30, HEAVY), (5, 24, HEAVY)]
+)
+def test_last_touch_equals_brute_force(spark, seed, hours, light_rows):
     rng = random.Random(seed)
     touches = [(_user(rng), _moment(rng), rng.choice(["a", "b", "c", None])) for _ in range(400)]
     touches += [touches[0]] * 100
@@ -45,6 +51,7 @@ def test_last_touch_equals_brute_force(spark, seed, hours):
         at="at",
         value="device",
         hours=hours,
+        light_rows=light_rows,
     )
     expected = []
     for id, user, moment in moments:
@@ -59,8 +66,8 @@ def test_last_touch_equals_brute_force(spark, seed, hours):
     assert len(expected) > 30
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_count_before_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, light_rows", [(1, LIGHT), (2, MIXED), (3, HEAVY), (4, HEAVY)])
+def test_count_before_equals_brute_force(spark, seed, light_rows):
     rng = random.Random(seed)
     hour = 3_600_000_000
 
@@ -76,6 +83,7 @@ def test_count_before_equals_brute_force(spark, seed):
         ["user", "stay"],
         bound="bound",
         at="at",
+        light_rows=light_rows,
     )
     expected = [
         (
@@ -91,6 +99,16 @@ def test_count_before_equals_brute_force(spark, seed):
     assert sorted(tuple(r) for r in found.select("id", "events_before").collect()) == expected
 
 
+@pytest.mark.parametrize("light_rows, expected", [(100, [7]), (3, [1, 7]), (1000, [])])
+def test_heavy_keys(spark, light_rows, expected):
+    frame = spark.createDataFrame([(7,)] * 500 + [(1,)] * 50 + [(2,)] * 3, "k long")
+    heavy = heavy_keys(frame, ["k"], light_rows)
+    assert sorted(r.k for r in heavy.collect()) == expected
+    light_part, heavy_part = split_heavy(frame, heavy, ["k"])
+    assert {r.k for r in heavy_part.collect()} == set(expected)
+    assert light_part.count() + heavy_part.count() == 553
+
+
 def test_count_members_equals_conditional_distinct_counts(spark):
     rng = random.Random(5)
     data = [(rng.choice("xxxy"), _user(rng), rng.random() < 0.3, rng.choice([True, None])) for _ in range(300)]
