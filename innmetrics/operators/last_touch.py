@@ -39,9 +39,14 @@ def last_touch(
         key, F.col(moment).alias("_at"), F.struct(*moments.columns).alias("_moment")
     )
     heavy = heavy_keys(steps.select(key).unionByName(asks.select(key)), [key], light_rows)
-    light_steps, heavy_steps = split_heavy(steps, heavy, [key])
-    light_asks, heavy_asks = split_heavy(asks, heavy, [key])
-    found = _carried(light_steps, light_asks, [key]).unionByName(_in_slots(heavy_steps, heavy_asks, key, hours))
+    if heavy is None:
+        found = _carried(steps, asks, [key])
+    else:
+        light_steps, heavy_steps = split_heavy(steps, heavy, [key])
+        light_asks, heavy_asks = split_heavy(asks, heavy, [key])
+        found = _carried(light_steps, light_asks, [key]).unionByName(
+            _in_slots(heavy_steps, heavy_asks, key, hours)
+        )
     return found.where(F.col("_touch._at") >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")).select(
         "_moment.*", F.col("_touch._value").alias(value), F.col("_touch._at").alias(at)
     )

@@ -42,16 +42,21 @@ def count_before(
     asks = probes.select(*keys, F.col(bound).alias("_at"), payload.alias("_probe"))
     answerable = asks.where(present)
 
+    none = asks.where(f"NOT ({present})").select(*keys, "_probe", F.lit(0).cast("bigint").alias("_count"))
     heavy = heavy_keys(steps.select(*keys).unionByName(answerable.select(*keys)), keys, light_rows)
-    light_steps, heavy_steps = split_heavy(steps, heavy, keys)
-    light_asks, heavy_asks = split_heavy(answerable, heavy, keys)
-    none = asks.where(f"NOT ({present})").withColumn("_count", F.lit(0).cast("bigint"))
-    counted = (
-        _running(light_steps.withColumn("_n", F.lit(1).cast("bigint")), light_asks, keys)
-        .unionByName(_count_in_slots(heavy_steps, heavy_asks, keys))
-        .unionByName(none.select(*keys, "_probe", "_count"))
-    )
-    return counted.select(*keys, "_probe.*", F.col("_count").alias(name))
+    if heavy is None:
+        counted = _running(_single(steps), answerable, keys)
+    else:
+        light_steps, heavy_steps = split_heavy(steps, heavy, keys)
+        light_asks, heavy_asks = split_heavy(answerable, heavy, keys)
+        counted = _running(_single(light_steps), light_asks, keys).unionByName(
+            _count_in_slots(heavy_steps, heavy_asks, keys)
+        )
+    return counted.unionByName(none).select(*keys, "_probe.*", F.col("_count").alias(name))
+
+
+def _single(steps: DataFrame) -> DataFrame:
+    return steps.withColumn("_n", F.lit(1).cast("bigint"))
 
 
 def _running(steps: DataFrame, asks: DataFrame, lane: Sequence[str]) -> DataFrame:

@@ -13,16 +13,21 @@ LIGHT_ROWS = 1_000_000
 HEAVY_KEYS = 10_000
 
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
+def heavy_keys(rows: DataFrame, keys: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame | None:
     """Keys with more rows than one task should take: over ``light_rows`` and over
-    1/HEAVY_KEYS of the input. The result is therefore small enough to broadcast.
+    1/HEAVY_KEYS of the input; None if there are none.
 
-    Counting combines within each input task, so it shuffles keys and not rows.
+    Runs a count by key, which combines within each input task and so shuffles keys and
+    not rows. The result has fewer than HEAVY_KEYS rows, so it can come to the driver and
+    be broadcast; knowing it while planning keeps the treatment of heavy keys out of
+    plans that have none. Callers must be exact for either kind of key.
     """
     counts = rows.select(*keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
     share = F.ceil(F.sum("_rows") / HEAVY_KEYS)
     limit = counts.agg(F.greatest(F.lit(light_rows), share).alias("limit")).scalar()
-    return counts.where(F.col("_rows") > limit).select(*keys)
+    found = counts.where(F.col("_rows") > limit).select(*keys)
+    heavy = found.collect()
+    return rows.sparkSession.createDataFrame(heavy, found.schema) if heavy else None
 
 
 def split_heavy(rows: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -34,6 +39,6 @@ def split_heavy(rows: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> tuple
     mark = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
     marked = rows.join(mark, list(keys), "left")
     return (
-        marked.where("_heavy IS NULL").drop("_heavy").select(*rows.columns),
-        marked.where("_heavy IS NOT NULL").drop("_heavy").select(*rows.columns),
+        marked.where("_heavy IS NULL").select(*rows.columns),
+        marked.where("_heavy IS NOT NULL").select(*rows.columns),
     )

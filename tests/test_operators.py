@@ -103,7 +103,9 @@ def test_count_before_equals_brute_force(spark, seed, light_rows):
 def test_heavy_keys(spark, light_rows, expected):
     frame = spark.createDataFrame([(7,)] * 500 + [(1,)] * 50 + [(2,)] * 3, "k long")
     heavy = heavy_keys(frame, ["k"], light_rows)
-    assert sorted(r.k for r in heavy.collect()) == expected
+    assert sorted(r.k for r in heavy.collect()) == expected if expected else heavy is None
+    if heavy is None:
+        return
     light_part, heavy_part = split_heavy(frame, heavy, ["k"])
     assert {r.k for r in heavy_part.collect()} == set(expected)
     assert light_part.count() + heavy_part.count() == 553
