@@ -292,8 +292,9 @@ def join_interval_24h(i: Inputs):
     """SELECT booking_id, user_id, city, device, timestamp, payment_status FROM attributed""",
 )
 def last_touch(i: Inputs):
+    m = i.market
     return funnels.attributed_bookings(
-        i.market.silver_clickstream, i.market.silver_bookings_enriched, i.market.date_boundaries, i.config
+        m.tables, m.silver_clickstream, m.silver_bookings_enriched, m.date_boundaries, i.config
     ).select("booking_id", "user_id", "city", "device", "timestamp", "payment_status")
 
 

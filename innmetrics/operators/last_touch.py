@@ -21,6 +21,8 @@ def last_touch(
     at: str,
     value: str,
     hours: int = 24,
+    load: DataFrame | None = None,
+    merge_equal: bool = False,
     light_rows: int = LIGHT_ROWS,
 ) -> DataFrame:
     """Moments with the latest touch of the same key in [moment - hours, moment].
@@ -31,6 +33,10 @@ def last_touch(
     No pair of moment and touch is formed. Light keys carry the latest touch forward over
     the stacked rows of the key, which takes one shuffle. Heavy keys are cut into time
     slots first, see ``_in_slots``.
+
+    ``load`` may give rows whose keys tell how the work is spread, where that is cheaper to
+    read than the moments and touches themselves. With ``merge_equal`` moments that are
+    equal in every column may come back once.
     """
     steps = touches.where(F.col(key).isNotNull() & F.col(value).isNotNull() & F.col(at).isNotNull()).select(
         key, F.col(at).alias("_at"), F.col(value).alias("_value")
@@ -38,32 +44,41 @@ def last_touch(
     asks = moments.where(F.col(key).isNotNull() & F.col(moment).isNotNull()).select(
         key, F.col(moment).alias("_at"), F.struct(*moments.columns).alias("_moment")
     )
-    heavy = heavy_keys(steps.select(key).unionByName(asks.select(key)), [key], light_rows)
+    if load is None:
+        load = steps.select(key).unionByName(asks.select(key))
+    heavy = heavy_keys(load.where(F.col(key).isNotNull()), [key], light_rows)
     if heavy is None:
         found = _carried(steps, asks, [key])
     else:
         light_steps, heavy_steps = split_heavy(steps, heavy, [key])
         light_asks, heavy_asks = split_heavy(asks, heavy, [key])
+        heavy_asks = heavy_asks.distinct() if merge_equal else heavy_asks
         found = _carried(light_steps, light_asks, [key]).unionByName(
             _in_slots(heavy_steps, heavy_asks, key, hours)
         )
-    return found.where(F.col("_touch._at") >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")).select(
-        "_moment.*", F.col("_touch._value").alias(value), F.col("_touch._at").alias(at)
+    return found.where(F.col("_touch_at") >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")).select(
+        "_moment.*", F.col("_touch_value").alias(value), F.col("_touch_at").alias(at)
     )
 
 
 def _carried(steps: DataFrame, asks: DataFrame, lane: list[str]) -> DataFrame:
     """Each ask with the last step at or before it within its lane, or NULL."""
-    marked = steps.select(*lane, "_at", "_value", F.struct("_at", "_value").alias("_step"))
     order = Window.partitionBy(*lane).orderBy(
         F.col("_at"), F.col("_moment").isNotNull(), F.col("_value").desc()
     )
-    touch = F.last("_step", ignorenulls=True).over(order.rowsBetween(*_THROUGH))
+    lately = order.rowsBetween(*_THROUGH)
+    step_at = F.when(F.col("_moment").isNull(), F.col("_at"))
     return (
-        marked.unionByName(asks, allowMissingColumns=True)
-        .withColumn("_touch", touch)
+        steps.select(*lane, "_at", "_value")
+        .unionByName(asks, allowMissingColumns=True)
+        .select(
+            *lane,
+            "_at",
+            "_moment",
+            F.last("_value", ignorenulls=True).over(lately).alias("_touch_value"),
+            F.last(step_at, ignorenulls=True).over(lately).alias("_touch_at"),
+        )
         .where("_moment IS NOT NULL")
-        .select(*lane, "_at", "_moment", "_touch")
     )
 
 
@@ -94,7 +109,11 @@ def _in_slots(steps: DataFrame, asks: DataFrame, key: str, hours: int) -> DataFr
         .select(key, "_slot", "_before")
     )
     return here.join(before, [key, "_slot"], "left").select(
-        key, "_at", "_moment", F.coalesce("_touch", "_before").alias("_touch")
+        key,
+        "_at",
+        "_moment",
+        F.coalesce("_touch_value", F.col("_before._value")).alias("_touch_value"),
+        F.coalesce("_touch_at", F.col("_before._at")).alias("_touch_at"),
     )
 
 

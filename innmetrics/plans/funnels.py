@@ -11,7 +11,8 @@ from innmetrics.operators.distinct import count_members
 from innmetrics.operators.last_touch import last_touch
 from innmetrics.operators.quality import Constraint
 from innmetrics.operators.ranking import top_per_key
-from innmetrics.plans.silver import in_booking_window
+from innmetrics.plans.silver import in_booking_window, located_properties
+from innmetrics.sources.tables import MarketTables
 
 FUNNEL_RULES = (
     Constraint("non_negative_viewers", "viewers >= 0"),
@@ -36,7 +37,7 @@ def city_traffic(silver_clicks: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def city_funnel(
-    silver_clicks: DataFrame, silver_bookings: DataFrame, places: DataFrame, boundaries: DataFrame, config: Config
+    tables: MarketTables, silver_clicks: DataFrame, silver_bookings: DataFrame, boundaries: DataFrame, config: Config
 ) -> DataFrame:
     """Per city and day: distinct users per event type and per booking stage.
 
@@ -45,7 +46,7 @@ def city_funnel(
     side appears with zeros for the other.
     """
     events = {"viewers": "view", "clickers": "click", "searchers": "search", "filterers": "filter"}
-    clicks = city_traffic(silver_clicks, places).select(
+    clicks = city_traffic(silver_clicks, located_properties(tables)).select(
         "city",
         "event_date",
         "user_id",
@@ -67,7 +68,7 @@ def city_funnel(
 
 
 def attributed_bookings(
-    silver_clicks: DataFrame, silver_bookings: DataFrame, boundaries: DataFrame, config: Config
+    tables: MarketTables, silver_clicks: DataFrame, silver_bookings: DataFrame, boundaries: DataFrame, config: Config
 ) -> DataFrame:
     """Each booking in the window with the device its user last touched before it.
 
@@ -84,13 +85,15 @@ def attributed_bookings(
         "check_out",
     )
     touched = last_touch(
-        moments.distinct(),
+        moments,
         silver_clicks.select("user_id", "timestamp", "device"),
         key="user_id",
         moment="booking_created_at",
         at="timestamp",
         value="device",
         hours=config.attribution_hours,
+        load=silver_clicks.select("user_id").unionByName(tables.bookings.select("user_id")),
+        merge_equal=True,
     )
     return top_per_key(
         touched,
@@ -100,11 +103,11 @@ def attributed_bookings(
 
 
 def device_funnel(
-    silver_clicks: DataFrame, silver_bookings: DataFrame, places: DataFrame, boundaries: DataFrame, config: Config
+    tables: MarketTables, silver_clicks: DataFrame, silver_bookings: DataFrame, boundaries: DataFrame, config: Config
 ) -> DataFrame:
     """Per city, device and week: viewers, and bookers by last touched device."""
     viewers = (
-        city_traffic(silver_clicks, places)
+        city_traffic(silver_clicks, located_properties(tables))
         .where(is_view() & F.col("device").isNotNull())
         .select(
             "city",
@@ -114,7 +117,7 @@ def device_funnel(
             F.lit(True).alias("viewers"),
         )
     )
-    bookers = attributed_bookings(silver_clicks, silver_bookings, boundaries, config).select(
+    bookers = attributed_bookings(tables, silver_clicks, silver_bookings, boundaries, config).select(
         "city",
         "device",
         F.date_trunc("week", F.to_date("booking_created_at")).alias("week_start"),

@@ -32,17 +32,13 @@ class Marketplace:
     def date_boundaries(self) -> DataFrame:
         return silver.date_boundaries(self.silver_clickstream)
 
-    @cached_property
-    def places(self) -> DataFrame:
-        return silver.located_properties(self.tables)
-
     @property
     def _silver(self) -> tuple[DataFrame, DataFrame]:
         return self.silver_clickstream, self.silver_bookings_enriched
 
     @cached_property
     def city_funnel(self) -> DataFrame:
-        return funnels.city_funnel(*self._silver, self.places, self.date_boundaries, self.config)
+        return funnels.city_funnel(self.tables, *self._silver, self.date_boundaries, self.config)
 
     @cached_property
     def city_investment(self) -> DataFrame:
@@ -64,7 +60,7 @@ class Marketplace:
 
     @cached_property
     def device_funnel(self) -> DataFrame:
-        return funnels.device_funnel(*self._silver, self.places, self.date_boundaries, self.config)
+        return funnels.device_funnel(self.tables, *self._silver, self.date_boundaries, self.config)
 
     @cached_property
     def device_diagnosis(self) -> DataFrame:
