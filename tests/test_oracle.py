@@ -4,6 +4,7 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
+from innmetrics.operators.skew import heavy_keys
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -22,6 +23,16 @@ def test_query_equals_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) == []
 
 
+@pytest.mark.parametrize("name", ["last_touch", "device_funnel", "join_interval_24h", "temporal_distribution"])
+def test_heavy_keys_give_the_same_results(spark, con, name, monkeypatch):
+    """With the limit lowered, some users take the way of heavy keys and some do not."""
+    for module in ("prefix", "last_touch"):
+        monkeypatch.setattr(
+            f"innmetrics.operators.{module}.heavy_keys", lambda rows, keys, _: heavy_keys(rows, keys, 12)
+        )
+    assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) == []
+
+
 def test_entry_returns_rows(spark):
     funnel = entry.entry(spark)
     assert funnel.columns[:2] == ["city", "event_date"]
