@@ -63,11 +63,8 @@ def choose(stream: int, shares: list[tuple[str, float]], *ids: str) -> str:
 
 
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"
-_BOOKED_FLAGS = (
-    "booking_status IN ('confirmed', 'completed')",
-    f"booking_status = 'completed' AND payment_status = 'completed' AND check_out < {AS_OF}",
-)
-CONFIRMED, COMPLETED = _BOOKED_FLAGS
+CONFIRMED = "booking_status IN ('confirmed', 'completed')"
+COMPLETED = f"booking_status = 'completed' AND payment_status = 'completed' AND check_out < {AS_OF}"
 
 PARTS: dict[str, str] = {
     # --- input tables -----------------------------------------------------------------

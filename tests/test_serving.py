@@ -130,7 +130,7 @@ def test_ingest_is_incremental_and_equals_the_batch(market, spark):
     batch = market(clickstream=drops[0] + drops[1]).silver_clickstream
     streamed = spark.read.schema(batch.schema).parquet(f"{root}/out").select(*batch.columns)
     assert rows(streamed) == rows(batch)
-    seen = [(c["row_count"], c["valid_user_id"], c["valid_event"]) for c in (dict(x.asDict() if hasattr(x, "asDict") else x) for x in counted)]
+    seen = [(c["row_count"], c["valid_user_id"], c["valid_event"]) for c in counted]
     assert seen == [(3, 1, 1), (2, 0, 1)]
 
 
