@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innmetrics.llm.common import arrow_pass, word_ids
+from innmetrics.llm.common import arrow_pass, word_ids, written
 
 WINDOW_WORDS = 8
 SYMBOLS = "#*$%&|<>"
@@ -147,7 +147,7 @@ def references(docs: DataFrame, rules: QualityRules = QualityRules()) -> dict:
     The key None holds all languages together. At most ``languages`` + 1 entries of some
     50 numbers, so it can go to every task.
     """
-    counts = language_histograms(docs)
+    counts = written(language_histograms(docs), "language-histograms")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
     sums = counts.groupBy("lang").agg(F.sum("n").alias("size")).orderBy(F.desc("size"), "lang")
     kept = sums.limit(rules.languages).select("lang")

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innmetrics.llm import bpe, licenses, quality_rules, secrets
+from innmetrics.llm import bpe, decontaminate, language, licenses, quality_classifier, quality_rules, secrets, simhash
 from innmetrics.llm.common import table
 
 
+def held_out(parts: int, part: int) -> Column:
+    """Whether the hash of doc_id falls into one of so many parts; not for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -24,6 +29,29 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, docs.where(~held_out(3, 1)))
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score", "bits_per_char", "rejected")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels").where(~held_out(5, 0)))
+    scored = quality_classifier.score(docs, model)
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"))
 
@@ -40,6 +68,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_secret_scans,
+        op3_decontamination,
+        op4_simhash,
+        op5_language_id,
+        op6_quality_classifier,
         op7_bpe,
         op8_license_scans,
         op10_quality_rules,
