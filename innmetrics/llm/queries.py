@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innmetrics.llm import bpe, decontaminate, language, licenses, quality_classifier, quality_rules, secrets, simhash
+from innmetrics.llm import bpe, decontaminate, html, language, licenses, quality_classifier, quality_rules, secrets, simhash
 from innmetrics.llm.common import table
 
 
@@ -16,6 +16,10 @@ def held_out(parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -67,6 +71,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_html_extraction,
         op2_secret_scans,
         op3_decontamination,
         op4_simhash,
