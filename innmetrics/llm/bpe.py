@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import regex
@@ -20,9 +21,9 @@ from innmetrics.llm.common import arrow_pass
 
 # Fixed value: how this kind of tokenizer cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Encoded words a task remembers before it starts afresh.
-CACHE_WORDS = 300_000
-#: Longer words are not remembered.
+#: Encoded words a task remembers; when so many are new, those not used since are dropped.
+CACHE_WORDS = 250_000
+#: Longer words are not remembered, and are merged one by one.
 CACHE_WORD_CHARS = 64
 
 
@@ -45,7 +46,9 @@ class Codec:
         self.bytes_of = {i: token for token, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of |= {i: content.encode() for content, i in self.special.items()}
-        self.longest = max(map(len, self.vocab))
+        self.reach: dict[bytes, int] = {}
+        for token in self.vocab:
+            self.reach[token[:2]] = max(self.reach.get(token[:2], 1), len(token))
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         pairs = [(self.vocab[raw(a)], self.vocab[raw(b)]) for a, b in merges]
         made = [self.vocab[raw(a + b)] for a, b in merges]
@@ -62,9 +65,15 @@ class Codec:
         keys = np.array([a << 32 | b for a, b in pairs], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], order.astype(np.int64)
+        self.made = np.array([*made, -1])
+        self.byte_ids = np.array([self.vocab[bytes([b])] for b in range(256)])
+        every = np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)
+        self.byte_ranks = self.merge_rank(*every).reshape(256, 256)
+        self.texts = [str(i).encode() for i in range(size)]
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words = regex.compile(WORDS)
         self.known: dict[str, tuple[int, bytes, bytes]] = {}
+        self.earlier: dict[str, tuple[int, bytes, bytes]] = {}
 
     def merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair; beyond all ranks if there is none."""
@@ -105,16 +114,55 @@ class Codec:
         return good
 
     def greedy(self, word: bytes) -> list[int]:
-        ids, start, vocab = [], 0, self.vocab
-        while start < len(word):
-            for end in range(min(len(word), start + self.longest), start, -1):
-                token = vocab.get(word[start:end])
-                if token is not None:
-                    ids.append(token)
-                    start = end
-                    break
+        ids, start, size = [], 0, len(word)
+        vocab, reach = self.vocab, self.reach
+        while start < size:
+            end = start + reach.get(word[start : start + 2], 1)
+            while (token := vocab.get(word[start:end])) is None:
+                end -= 1
+            ids.append(token)
+            start = min(end, size)
         return ids
 
+    def merged_together(self, words: list[bytes]) -> list[list[int]]:
+        """Exact merging of many short words at once: in each round every word makes its
+        merge of lowest rank, the leftmost first."""
+        done: list[list[int]] = [[] for _ in words]
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        owner = np.repeat(np.arange(len(words)), list(map(len, words)))
+        none = len(self.pair_keys)
+        ids = self.byte_ids[raw]
+        ranks = np.full(len(ids), none)  # of each piece with the next one
+        inner = owner[1:] == owner[:-1]
+        ranks[:-1][inner] = self.byte_ranks[raw[:-1], raw[1:]][inner]
+        while len(ids):
+            starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            sizes = np.diff(np.append(starts, len(ids)))
+            lowest = np.repeat(np.minimum.reduceat(ranks, starts), sizes)
+            final = lowest == none
+            if final.any():
+                held, names = ids[final], owner[final]
+                cuts = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+                for name, part in zip(names[cuts].tolist(), np.split(held, cuts[1:])):
+                    done[name] = part.tolist()
+                keep = ~final
+                ids, owner, ranks, lowest = ids[keep], owner[keep], ranks[keep], lowest[keep]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(ranks == lowest)
+            at = at[np.append(True, owner[at[1:]] != owner[at[:-1]])]
+            ids[at] = self.made[ranks[at]]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            at = at - np.arange(len(at))
+            ids, owner, ranks = ids[keep], owner[keep], ranks[keep]
+            for left in (at, at[at > 0] - 1):
+                left = left[left < len(ids) - 1]
+                same = owner[left] == owner[left + 1]
+                ranks[left] = np.where(same, self.merge_rank(ids[left], ids[left + 1]), none)
+            ranks[-1] = none
+        return done
+
     def merged(self, word: bytes) -> list[int]:
         """Merging by rank, the leftmost first: a heap over a linked list of pieces."""
         from heapq import heapify, heappop, heappush
@@ -153,15 +201,32 @@ class Codec:
         inner = owner[1:] == owner[:-1]
         pairs, places = np.unique((flat[:-1] << 32 | flat[1:])[inner], return_inverse=True)
         good = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)
-        for i in np.unique(owner[1:][inner][~good[places]]).tolist():
-            guesses[i] = self.merged(raws[i])
+        failing = np.unique(owner[1:][inner][~good[places]]).tolist()
+        short = [i for i in failing if len(raws[i]) <= CACHE_WORD_CHARS]
+        for i, ids in zip(short, self.merged_together([raws[i] for i in short])):
+            guesses[i] = ids
+        for i in failing:
+            if len(raws[i]) > CACHE_WORD_CHARS:
+                guesses[i] = self.merged(raws[i])
         return guesses
 
-    def learn(self, words: set[str]) -> None:
-        """Remembers number of ids, the ids as text and the decoded bytes of new words."""
-        new = [w for w in words if w not in self.known]
-        for word, ids in zip(new, self.encode_words(new)):
-            self.known[word] = len(ids), ",".join(map(str, ids)).encode(), self.decode_bytes(ids)
+    def learn(self, split: list[list[str]]) -> set[str]:
+        """Has number of ids, ids as text and decoded bytes of all words in ``known``;
+        returns the words that were not there."""
+        if len(self.known) > CACHE_WORDS:
+            self.earlier, self.known = self.known, {}
+        new: set[str] = set()
+        for words in split:
+            new.update(filterfalse(self.known.__contains__, words))
+        back = [w for w in new if w in self.earlier]
+        self.known.update((w, self.earlier[w]) for w in back)
+        rest = list(new.difference(back))
+        own = [w for w in rest if w not in self.special]
+        made = zip(own, self.encode_words(own))
+        texts = self.texts
+        for word, ids in chain(made, ((w, [self.special[w]]) for w in rest if w in self.special)):
+            self.known[word] = len(ids), b",".join([texts[i] for i in ids]), self.decode_bytes(ids)
+        return new
 
     def split(self, text: str) -> list[str]:
         """Words and special tokens of a text."""
@@ -228,21 +293,14 @@ def digest_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") ->
     def step(doc_ids, texts):
         own = _codec(vocabulary)
         split = [own.split(text) if text else [] for text in texts]
-        words = {w for ws in split for w in ws}
-        if len(own.known) + len(words) > CACHE_WORDS:
-            own.known.clear()
-        marks = {c: (1, str(i).encode(), c.encode()) for c, i in own.special.items()}
-        own.learn(words - marks.keys())
-        known = own.known | marks if marks.keys() & words else own.known
-        rows = []
-        for doc_id, ws in zip(doc_ids, split):
-            made = [known[w] for w in ws]
-            decoded = b"".join([m[2] for m in made]).decode("utf-8", errors="replace").encode()
-            ids = b",".join([m[1] for m in made])
-            rows.append((doc_id, sum([m[0] for m in made]), _sha(ids), _sha(decoded)))
-        for w in words:
-            if len(w) > CACHE_WORD_CHARS:
-                own.known.pop(w, None)
+        new, known, rows = own.learn(split), own.known, []
+        for doc_id, words in zip(doc_ids, split):
+            sizes, ids, raws = zip(*map(known.__getitem__, words)) if words else ((), (), ())
+            decoded = b"".join(raws).decode("utf-8", errors="replace").encode()
+            rows.append((doc_id, sum(sizes), _sha(b",".join(ids)), _sha(decoded)))
+        for word in new:
+            if len(word) > CACHE_WORD_CHARS:
+                del known[word]
         return list(zip(*rows))
 
     return arrow_pass(
