@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from innmetrics.session import work_folder
 
@@ -65,14 +65,32 @@ def arrow_pass(
             for start in range(0, batch.num_rows, step_rows):
                 part = batch.slice(start, step_rows)
                 made = step(*[part.column(i).to_pylist() for i in range(part.num_columns)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, f.type) for v, f in zip(made, schema)], schema=schema
-                )
+                arrays = [v if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(made, schema)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return rows.select(*columns).mapInArrow(run, ddl)
 
 
-_SPACE = re.compile(rb"[\x20\x09-\x0D]+")
+def bit_filter(rows: DataFrame, column: str, bits: int) -> np.ndarray:
+    """One flag for each remainder of a bigint column by ``bits`` (a power of two), packed.
+
+    The flags are made by Spark in blocks; their size doesn't depend on the rows. A filter
+    has no misses, and more false hits the more rows there are, so what passes it must be
+    looked at again.
+    """
+    place = F.col(column).bitwiseAND(F.lit(bits - 1))
+    block = F.shiftright(place, 15).alias("block")
+    blocks = rows.select(block, place.bitwiseAND(F.lit(32767)).alias("place")).groupBy("block")
+    packed = np.zeros(bits // 8, np.uint8)
+    for part in blocks.agg(F.expr("bitmap_construct_agg(place)").alias("flags")).toLocalIterator():
+        packed[part.block * 4096 : (part.block + 1) * 4096] = np.frombuffer(part.flags, np.uint8)
+    return packed
+
+
+def passes(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which 64-bit values hit a flag of ``bit_filter``."""
+    low = values.view(np.uint64) & np.uint64(8 * len(packed) - 1)
+    return (packed[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def plain_words(text: str | None) -> list[bytes]:

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innmetrics.llm.common import arrow_pass, written
+from innmetrics.llm.common import arrow_pass, bit_filter, passes, written
 from innmetrics.llm.quality_rules import letter_words
 
 SEED_WORDS = 4
@@ -63,24 +63,15 @@ def item_runs(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def run_filter(runs: DataFrame) -> np.ndarray:
-    """FILTER_BITS flags: whether some item's run falls there. Fixed size, no misses."""
-    places = runs.select(F.col("run").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("place")).distinct()
-    flags = np.zeros(FILTER_BITS, bool)
-    flags[places.toArrow()["place"].to_numpy()] = True
-    return np.packbits(flags, bitorder="little")
-
-
 def text_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """doc_id, pos, run: the runs of all texts that pass the filter."""
-    sent = docs.sparkSession.sparkContext.broadcast(run_filter(runs))
+    sent = docs.sparkSession.sparkContext.broadcast(bit_filter(runs, "run", FILTER_BITS))
 
     def step(ids, texts):
         flags, found_ids, places, found = sent.value, [], [], []
         for doc_id, text in zip(ids, texts):
             hashes = run_hashes(words_of(text))
-            low = hashes & (FILTER_BITS - 1)
-            at = np.flatnonzero(flags[low >> 3] >> (low & 7).astype(np.uint8) & 1)
+            at = np.flatnonzero(passes(flags, hashes))
             if len(at):
                 found_ids.append(np.full(len(at), doc_id))
                 places.append(at)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innmetrics.llm import bpe, decontaminate, html, language, licenses, quality_classifier, quality_rules, secrets, simhash
+from innmetrics.llm import bpe, decontaminate, html, language, licenses, quality_classifier, quality_rules, secrets, simhash, suffix_dedup
 from innmetrics.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_quality_classifier,
         op7_bpe,
         op8_license_scans,
+        op9_suffix_dedup,
         op10_quality_rules,
     )
 }
