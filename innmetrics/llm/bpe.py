@@ -286,11 +286,13 @@ def decode_documents(rows: DataFrame, vocabulary: str = "byte_bpe_50k.json") ->
     return arrow_pass(rows, ["doc_id", "ids"], "doc_id BIGINT, text STRING", step, 128)
 
 
-def digest_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text, without moving
-    the ids; same rules as ``encode_documents``."""
+def digest_documents(
+    docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, the columns ``carried`` (strings), n_tokens, ids_sha256 and decoded_sha256
+    of every whole text, without moving the ids; same rules as ``encode_documents``."""
 
-    def step(doc_ids, texts):
+    def step(texts, doc_ids, *others):
         own = _codec(vocabulary)
         split = [own.split(text) if text else [] for text in texts]
         new, known, rows = own.learn(split), own.known, []
@@ -301,12 +303,14 @@ def digest_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") ->
         for word in new:
             if len(word) > CACHE_WORD_CHARS:
                 del known[word]
-        return list(zip(*rows))
+        made = list(zip(*rows)) or [[]] * 4
+        return [made[0], *others, *made[1:]]
 
+    names = "".join(f"{c} STRING, " for c in carried)
     return arrow_pass(
         docs,
-        ["doc_id", "text"],
-        "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING",
+        ["text", "doc_id", *carried],
+        f"doc_id BIGINT, {names}n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING",
         step,
         256,
     )

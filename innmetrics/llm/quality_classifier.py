@@ -13,6 +13,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,16 +207,31 @@ def score(docs: DataFrame, model: FactorisationMachine, settings: QualityModelSe
     """doc_id, score (0 to 1, the chance of label 1). Reads doc_id, text and n_chars where
     there is one; a null text counts as empty, which has a score too. Repeated rows give
     repeated results."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    scored = with_score(docs, model, "score", settings)
+    return scored.select("doc_id", "score")
 
-    def step(doc_ids, texts, sizes):
-        own, rows = sent.value, []
-        for text, n_chars in zip(texts, sizes):
-            text = text or ""
-            words = plain_words(text)
-            counts = Counter(words)
-            rows.append((*word_features(counts, settings.word_buckets), structure(text, words, counts, n_chars)))
-        held = own.rows(*zip(*rows), settings.word_buckets)
-        return doc_ids, sigmoid(own.margins(*held))
 
-    return arrow_pass(_with_length(docs), ["doc_id", "text", "n_chars"], "doc_id BIGINT, score DOUBLE", step, 512)
+def with_score(
+    docs: DataFrame,
+    model: FactorisationMachine,
+    name: str,
+    settings: QualityModelSettings = QualityModelSettings(),
+) -> DataFrame:
+    """The rows with their score as one more column, which must be a new name."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(texts, sizes):
+        own, out = sent.value, []
+        for begin in range(0, len(texts), 512):
+            rows = []
+            for text, n_chars in zip(texts[begin : begin + 512], sizes[begin : begin + 512]):
+                text, n_chars = text or "", None if n_chars is None or n_chars != n_chars else n_chars
+                words = plain_words(text)
+                counts = Counter(words)
+                rows.append((*word_features(counts, settings.word_buckets), structure(text, words, counts, n_chars)))
+            out.append(sigmoid(own.margins(*own.rows(*zip(*rows), settings.word_buckets))))
+        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+
+    sizes = F.col("n_chars").cast("bigint") if "n_chars" in docs.columns else F.lit(None).cast("bigint")
+    return docs.withColumn(name, scored("text", sizes))
