@@ -11,6 +11,9 @@ import re
 AS_OF = "DATE '2024-01-20'"
 
 
+MODULUS = 2_147_483_647
+
+
 def r6(expression: str) -> str:
     return f"round(CAST({expression} AS DOUBLE), 6)"
 
@@ -25,19 +28,22 @@ def rate(part: str, whole: str, above: int = 0, otherwise: str = "0") -> str:
 
 def draw(stream: int, *ids: str) -> str:
     """The arithmetic draw of the generated data; see the draw functions of the package."""
-    m = 1_000_003
-    terms = [f"((({x}) % {m} + {m}) % {m}) * {7919 + 7907 * stream + 104_729 * i}" for i, x in enumerate(ids)]
+    m = MODULUS
+    terms = [
+        f"((({x} + {x} // {m} * 611953) % {m} + {m}) % {m}) * {7919 + 7907 * stream + 104_729 * i}"
+        for i, x in enumerate(ids)
+    ]
     mixed = f"(({' + '.join(terms)} + {15_485_863 * (stream + 1)}) % {m})"
     square = f"({mixed} * {mixed} % {m})"
     return f"(({square} * {square} % {m}) * {mixed} % {m})"
 
 
 def scaled(stream: int, span: str | int, *ids: str) -> str:
-    return f"({draw(stream, *ids)} * CAST({span} AS BIGINT) // 1000003)"
+    return f"({draw(stream, *ids)} * CAST({span} AS BIGINT) // {MODULUS})"
 
 
 def below(stream: int, share: float, *ids: str) -> str:
-    return f"{draw(stream, *ids)} < {round(share * 1_000_003)}"
+    return f"{draw(stream, *ids)} < {round(share * MODULUS)}"
 
 
 def chained_device(stream: int, *ids: str) -> str:
@@ -181,9 +187,10 @@ PARTS: dict[str, str] = {
         SELECT city, total_viewers, total_completers, conversion_rate,
                total_completers * (SELECT avg(CAST(total_amount AS DOUBLE)) FROM silver_bookings
                                    WHERE booking_status = 'confirmed') AS estimated_revenue,
-               CASE (total_viewers >= median_viewers)::INT * 2 + (conversion_rate >= median_conversion)::INT
-                    WHEN 2 THEN 'Fix Supply/UX' WHEN 3 THEN 'Protect & Expand'
-                    WHEN 1 THEN 'Invest Marketing' ELSE 'Deprioritize' END AS quadrant
+               CASE WHEN total_viewers < median_viewers AND conversion_rate < median_conversion THEN 'Deprioritize'
+                    WHEN total_viewers < median_viewers THEN 'Invest Marketing'
+                    WHEN conversion_rate < median_conversion THEN 'Fix Supply/UX'
+                    ELSE 'Protect & Expand' END AS quadrant
         FROM city_totals, city_medians""",
     "viewed_bookings": """
         SELECT w.* FROM window_bookings AS w
@@ -278,7 +285,7 @@ PARTS: dict[str, str] = {
     "amenity_ranks": """
         SELECT city, property_type, amenity_name, confirmation_lift,
                row_number() OVER (PARTITION BY city, property_type
-                                  ORDER BY round(confirmation_lift, 6) DESC, amenity_id) AS rank
+                                  ORDER BY CAST(round(confirmation_lift, 10) AS DECIMAL(18, 10)) DESC, amenity_id) AS rank
         FROM amenity_lift""",
     "attributed": """
         SELECT w.booking_id, w.user_id, w.city, w.booking_created_at, w.booking_status, w.check_out,
@@ -348,7 +355,8 @@ PARTS: dict[str, str] = {
           AND timestamp < (SELECT max(created_at) - INTERVAL 10 SECOND FROM bookings)""",
     "sampled_pairs": f"""
         SELECT user_id, property_id FROM (SELECT DISTINCT user_id, property_id FROM bookings)
-        ORDER BY {draw(6, "user_id", "property_id")}, user_id, property_id LIMIT 50""",
+        ORDER BY {draw(6, "user_id", "property_id")}, {draw(18, "user_id", "property_id")}, user_id, property_id
+        LIMIT 50""",
     "prelaunch_views": f"""
         SELECT user_id, property_id, 'view' AS event,
                make_timestamp(((SELECT epoch_us(min(created_at)) // 1000000 FROM bookings) - 604800
@@ -359,9 +367,11 @@ PARTS: dict[str, str] = {
     "indexed_properties": """
         SELECT property_id, row_number() OVER (ORDER BY property_id % 1009, property_id) - 1 AS place
         FROM (SELECT DISTINCT property_id FROM bookings)""",
+    "browse_floor": """
+        SELECT coalesce(greatest(max(user_id) + 1, 200000), 200000) AS floor FROM bookings""",
     "browse_users": """
         SELECT u AS user_id
-        FROM range(200000, 200000 + (SELECT CAST(floor(count(DISTINCT user_id) / 0.44) AS BIGINT)
+        FROM range((SELECT floor FROM browse_floor), (SELECT floor FROM browse_floor) + (SELECT CAST(floor(count(DISTINCT user_id) / 0.44) AS BIGINT)
                                             - count(DISTINCT user_id) FROM bookings)) AS r(u)""",
     "browse_views": f"""
         SELECT v.user_id, property_id, 'view' AS event, v.timestamp, v.device, v.referrer

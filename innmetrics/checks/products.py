@@ -321,7 +321,7 @@ def user_segmentation(i: Inputs):
     "nonbooking_check",
     """SELECT count(DISTINCT s.user_id) AS non_booking_viewers,
               count(DISTINCT k.user_id) AS non_booking_users_with_bookings
-       FROM synthetic AS s LEFT JOIN bookings AS k ON k.user_id = s.user_id WHERE s.user_id >= 200000""",
+       FROM synthetic AS s LEFT JOIN bookings AS k ON k.user_id = s.user_id WHERE s.user_id >= (SELECT floor FROM browse_floor)""",
 )
 def nonbooking_check(i: Inputs):
     return validate.nonbooking_check(i.synthetic, i.tables.bookings, i.config)
@@ -329,14 +329,14 @@ def nonbooking_check(i: Inputs):
 
 @check(
     "events_by_user_type",
-    """SELECT CASE WHEN user_id >= 200000 THEN 'Non-Booking User' ELSE 'Booking User' END AS user_type,
+    """SELECT CASE WHEN user_id >= (SELECT floor FROM browse_floor) THEN 'Non-Booking User' ELSE 'Booking User' END AS user_type,
               count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
               round(count(*) * 1.0 / count(DISTINCT user_id), 2) AS avg_events_per_user
        FROM synthetic GROUP BY 1""",
     doubles="avg_events_per_user",
 )
 def events_by_user_type(i: Inputs):
-    return validate.events_by_user_type(i.synthetic, i.config)
+    return validate.events_by_user_type(i.synthetic, i.tables.bookings, i.config)
 
 
 @check(
@@ -352,7 +352,7 @@ def events_by_user_type(i: Inputs):
         segments AS (SELECT round(count(k.user_id) * 100.0 / count(v.user_id), 2) AS pct {_SEGMENTS}),
         strays AS (
             SELECT count(DISTINCT user_id) AS n FROM synthetic
-            WHERE user_id >= 200000 AND user_id IN (SELECT user_id FROM bookings))
+            WHERE user_id >= (SELECT floor FROM browse_floor) AND user_id IN (SELECT user_id FROM bookings))
        SELECT 'all_events_are_views' AS check, count(*) = count(*) FILTER (WHERE event = 'view') AS passed,
               round(count(*) FILTER (WHERE event = 'view') * 100.0 / count(*), 2) AS measured FROM synthetic
        UNION ALL SELECT 'all_bookings_have_events', count(*) FILTER (WHERE n = 0) = 0,
@@ -399,7 +399,7 @@ _BOOKING_REPORT = " UNION ALL ".join(
 )
 _FUNNEL_RULES = {
     "non_negative_viewers": "viewers >= 0",
-    "non_negative_bookers": "least(initiated_bookers, confirmed_bookers, completers) >= 0",
+    "non_negative_bookers": "initiated_bookers >= 0 AND confirmed_bookers >= 0 AND completers >= 0",
     "logical_funnel": "initiated_bookers >= confirmed_bookers AND confirmed_bookers >= completers",
 }
 _WARN_REPORT = " UNION ALL ".join(
@@ -419,7 +419,7 @@ _WARN_REPORT = " UNION ALL ".join(
             "amenity_lift",
             "amenity_lift",
             "warn",
-            valid_amenity_data="greatest(properties_with, properties_without) > 0",
+            valid_amenity_data="properties_with > 0 OR properties_without > 0",
         ),
     ]
 )

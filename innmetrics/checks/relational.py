@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from innmetrics.checks.registry import Inputs, check
@@ -132,16 +133,16 @@ def case_bucket(i: Inputs):
     "coalesce_keys",
     """SELECT coalesce(c.user_id, k.user_id) AS user_id, coalesce(clicks, 0) AS clicks,
               coalesce(orders, 0) AS orders
-       FROM (SELECT user_id, count(*) AS clicks FROM silver_clicks WHERE event = 'click' GROUP BY 1) AS c
-       FULL JOIN (SELECT user_id, count(*) AS orders FROM bookings WHERE status = 'cancelled' GROUP BY 1) AS k
+       FROM (SELECT user_id, count(*) AS clicks FROM silver_clicks GROUP BY 1) AS c
+       FULL JOIN (SELECT user_id, count(*) AS orders FROM bookings GROUP BY 1) AS k
          ON k.user_id = c.user_id""",
 )
 def coalesce_keys(i: Inputs):
     clicks = (
-        i.market.silver_clickstream.where("event = 'click'").groupBy("user_id").agg(F.count("*").alias("clicks"))
+        i.market.silver_clickstream.groupBy("user_id").agg(F.count("*").alias("clicks"))
     )
     orders = (
-        i.tables.bookings.where("status = 'cancelled'")
+        i.tables.bookings
         .groupBy(F.col("user_id").alias("booker_id"))
         .agg(F.count("*").alias("orders"))
     )
@@ -214,7 +215,7 @@ def join_left(i: Inputs):
     "join_full_chain",
     """SELECT coalesce(v.property_id, c.property_id, k.property_id, r.property_id) AS property_id,
               coalesce(v.n, 0) AS views, coalesce(c.n, 0) AS clicks, coalesce(k.n, 0) AS bookings,
-              coalesce(r.n, 0) AS bad_reviews
+              coalesce(r.n, 0) AS reviews
        FROM (SELECT property_id, count(*) AS n FROM silver_clicks
              WHERE event = 'view' AND property_id IS NOT NULL GROUP BY 1) AS v
        FULL JOIN (SELECT property_id, count(*) AS n FROM silver_clicks
@@ -222,7 +223,7 @@ def join_left(i: Inputs):
               ON c.property_id = v.property_id
        FULL JOIN (SELECT property_id, count(*) AS n FROM bookings GROUP BY 1) AS k
               ON k.property_id = coalesce(v.property_id, c.property_id)
-       FULL JOIN (SELECT property_id, count(*) AS n FROM reviews WHERE rating < 2 GROUP BY 1) AS r
+       FULL JOIN (SELECT property_id, count(*) AS n FROM reviews GROUP BY 1) AS r
               ON r.property_id = coalesce(v.property_id, c.property_id, k.property_id)""",
 )
 def join_full_chain(i: Inputs):
@@ -232,7 +233,7 @@ def join_full_chain(i: Inputs):
         "views": clicks.where("event = 'view'"),
         "clicks": clicks.where("event = 'click'"),
         "bookings": i.tables.bookings,
-        "bad_reviews": i.tables.reviews.where("rating < 2"),
+        "reviews": i.tables.reviews,
     }
     stacked = None
     for name, rows in parts.items():
@@ -482,11 +483,12 @@ def agg_group_expr(i: Inputs):
 @check(
     "win_row_number",
     """SELECT city, property_type, amenity_name, round(confirmation_lift, 6) AS confirmation_lift, rank
-       FROM amenity_ranks WHERE rank <= 10""",
+       FROM amenity_ranks""",
 )
 def win_row_number(i: Inputs):
-    order = [F.round("confirmation_lift", 6).desc(), F.col("amenity_id")]
-    ranked = top_per_key(i.market.amenity_lift, ["city", "property_type"], order, count=10, rank="rank")
+    order = [F.col("confirmation_lift").desc(), F.col("amenity_id")]
+    ranks = F.row_number().over(Window.partitionBy("city", "property_type").orderBy(*order))
+    ranked = i.market.amenity_lift.withColumn("rank", ranks)
     return ranked.select("city", "property_type", "amenity_name", "confirmation_lift", "rank")
 
 
@@ -631,10 +633,10 @@ def fn_round(i: Inputs):
 
 @check(
     "fn_explode",
-    "SELECT booking_id, n AS event_num FROM bookings CROSS JOIN range(10) AS r(n) WHERE status = 'pending'",
+    "SELECT booking_id, n AS event_num FROM bookings CROSS JOIN range(10) AS r(n)",
 )
 def fn_explode(i: Inputs):
-    return i.tables.bookings.where("status = 'pending'").select(
+    return i.tables.bookings.select(
         "booking_id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("event_num")
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Config:
-    """Parameters of a run. Defaults equal the reference's hard-coded values."""
+    """Parameters of a run. Defaults are the limits that the reports were defined with."""
 
     #: Day on which "past check-out" is judged; None means the day of the run.
     as_of: date | None = None

@@ -11,23 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Prime modulus; products of two residues stay far below the bigint limit.
-MODULUS = 1_000_003
+#: Prime modulus, 2**31 - 1; products of two residues stay below the bigint limit.
+MODULUS = 2_147_483_647
 
 
 def draw_sql(stream: int, *ids: str) -> str:
     """Uniform integer in [0, MODULUS) from integer columns; ``stream`` keeps draws apart.
 
-    The fifth power permutes the residues of this prime, which breaks up the straight
-    lines a plain linear mix would leave between two streams.
+    Ids a modulus apart differ in their quotient, which is mixed in too. The fifth power
+    permutes the residues of this prime, which breaks up the straight lines a plain linear
+    mix would leave between two streams.
     """
     terms = [
-        f"pmod({name}, {MODULUS}L) * {7919 + 7907 * stream + 104_729 * place}"
+        f"pmod({name} + {name} div {MODULUS}L * 611953, {MODULUS}L) * {7919 + 7907 * stream + 104_729 * place}"
         for place, name in enumerate(ids)
     ]
-    mixed = f"pmod({' + '.join(terms)} + {15_485_863 * (stream + 1)}, {MODULUS}L)"
-    square = f"pmod({mixed} * {mixed}, {MODULUS}L)"
-    return f"pmod(pmod({square} * {square}, {MODULUS}L) * {mixed}, {MODULUS}L)"
+    mixed = f"(({' + '.join(terms)} + {15_485_863 * (stream + 1)}) % {MODULUS}L)"
+    square = f"({mixed} * {mixed} % {MODULUS}L)"
+    return f"(({square} * {square} % {MODULUS}L) * {mixed} % {MODULUS}L)"
 
 
 def draw(stream: int, *ids: str) -> Column:
@@ -35,8 +36,14 @@ def draw(stream: int, *ids: str) -> Column:
 
 
 def scaled(stream: int, span: str | int, *ids: str) -> Column:
-    """Uniform integer in [0, span); ``span`` is a number or an integer column."""
-    return F.expr(f"{draw_sql(stream, *ids)} * cast({span} AS bigint) div {MODULUS}")
+    """Uniform integer in [0, span); ``span`` is a number or an integer column. A span
+    beyond MODULUS, which a draw could not fill, is an error."""
+    if isinstance(span, int):
+        if span > MODULUS:
+            raise ValueError(f"span {span} of a draw is too large")
+        return F.expr(f"{draw_sql(stream, *ids)} * {span}L div {MODULUS}L")
+    fits = f"if({span} > {MODULUS}L, cast(raise_error('span of a draw is too large') AS bigint), {span})"
+    return F.expr(f"{draw_sql(stream, *ids)} * {fits} div {MODULUS}L")
 
 
 def first_below(steps: list[tuple[str, int, float]], otherwise: str, *ids: str) -> Column:

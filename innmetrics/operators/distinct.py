@@ -22,3 +22,36 @@ def count_members(
     return members.groupBy(*group).agg(
         *[F.count_if(F.col(name) & F.col(member).isNotNull()).alias(name) for name in flags]
     )
+
+
+def count_distinct(
+    rows: DataFrame,
+    group: Sequence[str],
+    members: Mapping[str, str],
+    counts: Mapping[str, str],
+    ends: Mapping[str, tuple[str, str]] | None = None,
+) -> DataFrame:
+    """Distinct counts of several columns per group, with row counts and smallest or
+    largest values, in one pass.
+
+    Several COUNT(DISTINCT ...) in one aggregation would copy every row once per column.
+    Here the rows of each member column are reduced to one per value within each task
+    before they are stacked, so what grows with the table is read as it is and only
+    values are shuffled.
+    """
+    ends = ends or {}
+    parts = []
+    for name, column in members.items():
+        values = rows.where(F.col(column).isNotNull()).groupBy(*group, column).agg(F.lit(1).alias("_one"))
+        parts.append(values.groupBy(*group).agg(F.count("*").alias(name)))
+    totals = rows.groupBy(*group).agg(
+        *[F.count(column).alias(name) for name, column in counts.items()],
+        *[getattr(F, kind)(column).alias(name) for name, (kind, column) in ends.items()],
+    )
+    names = [*members, *counts, *ends]
+    stacked = totals
+    for part in parts:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    merged = [F.max(name).alias(name) for name in names]
+    filled = [F.coalesce(name, F.lit(0).cast("bigint")).alias(name) if name in members else F.col(name) for name in names]
+    return stacked.groupBy(*group).agg(*merged).select(*group, *filled)

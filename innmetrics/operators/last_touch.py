@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from innmetrics.operators.skew import LIGHT_ROWS, heavy_keys, split_heavy
+from innmetrics.operators.skew import LIGHT_ROWS, heavy_keys, mark_heavy
 
 #: Minutes of one time slot of a heavy key.
 SLOT_MINUTES = 1
@@ -22,7 +22,6 @@ def last_touch(
     value: str,
     hours: int = 24,
     load: DataFrame | None = None,
-    merge_equal: bool = False,
     light_rows: int = LIGHT_ROWS,
 ) -> DataFrame:
     """Moments with the latest touch of the same key in [moment - hours, moment].
@@ -30,13 +29,12 @@ def last_touch(
     Adds ``value`` and ``at`` of that touch; moments without one are left out. Of touches
     at the same time the smallest ``value`` wins.
 
-    No pair of moment and touch is formed. Light keys carry the latest touch forward over
-    the stacked rows of the key, which takes one shuffle. Heavy keys are cut into time
-    slots first, see ``_in_slots``.
+    No pair of moment and touch is formed: the latest touch is carried forward over the
+    stacked rows of a key, which takes one shuffle. Heavy keys are cut into time slots,
+    each with its own pass, see ``_earlier_slots``.
 
     ``load`` may give rows whose keys tell how the work is spread, where that is cheaper to
-    read than the moments and touches themselves. With ``merge_equal`` moments that are
-    equal in every column may come back once.
+    read than the moments and touches themselves.
     """
     steps = touches.where(F.col(key).isNotNull() & F.col(value).isNotNull() & F.col(at).isNotNull()).select(
         key, F.col(at).alias("_at"), F.col(value).alias("_value")
@@ -44,77 +42,56 @@ def last_touch(
     asks = moments.where(F.col(key).isNotNull() & F.col(moment).isNotNull()).select(
         key, F.col(moment).alias("_at"), F.struct(*moments.columns).alias("_moment")
     )
-    if load is None:
-        load = steps.select(key).unionByName(asks.select(key))
-    heavy = heavy_keys(load.where(F.col(key).isNotNull()), [key], light_rows)
-    if heavy is None:
-        found = _carried(steps, asks, [key])
-    else:
-        light_steps, heavy_steps = split_heavy(steps, heavy, [key])
-        light_asks, heavy_asks = split_heavy(asks, heavy, [key])
-        heavy_asks = heavy_asks.distinct() if merge_equal else heavy_asks
-        found = _carried(light_steps, light_asks, [key]).unionByName(
-            _in_slots(heavy_steps, heavy_asks, key, hours)
-        )
-    return found.where(F.col("_touch_at") >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")).select(
-        "_moment.*", F.col("_touch_value").alias(value), F.col("_touch_at").alias(at)
-    )
-
-
-def _carried(steps: DataFrame, asks: DataFrame, lane: list[str]) -> DataFrame:
-    """Each ask with the last step at or before it within its lane, or NULL."""
-    order = Window.partitionBy(*lane).orderBy(
+    stacked = steps.unionByName(asks, allowMissingColumns=True)
+    load = stacked if load is None else load.where(F.col(key).isNotNull())
+    slot = F.expr(f"unix_micros(cast(_at AS timestamp)) div {SLOT_MINUTES * 60_000_000}")
+    marked = mark_heavy(stacked, heavy_keys(load, [key], light_rows), [key], slot)
+    order = Window.partitionBy(key, "_slot").orderBy(
         F.col("_at"), F.col("_moment").isNotNull(), F.col("_value").desc()
     )
     lately = order.rowsBetween(*_THROUGH)
     step_at = F.when(F.col("_moment").isNull(), F.col("_at"))
-    return (
-        steps.select(*lane, "_at", "_value")
-        .unionByName(asks, allowMissingColumns=True)
-        .select(
-            *lane,
-            "_at",
-            "_moment",
-            F.last("_value", ignorenulls=True).over(lately).alias("_touch_value"),
-            F.last(step_at, ignorenulls=True).over(lately).alias("_touch_at"),
-        )
-        .where("_moment IS NOT NULL")
+    here = marked.select(
+        key,
+        "_slot",
+        "_at",
+        "_moment",
+        F.last("_value", ignorenulls=True).over(lately).alias("_touch_value"),
+        F.last(step_at, ignorenulls=True).over(lately).alias("_touch_at"),
+    ).where("_moment IS NOT NULL")
+    found = here.join(_earlier_slots(marked, key, hours), [key, "_slot"], "left").select(
+        "_at",
+        "_moment",
+        F.coalesce("_touch_value", F.col("_before._value")).alias("_touch_value"),
+        F.coalesce("_touch_at", F.col("_before._at")).alias("_touch_at"),
+    )
+    return found.where(F.col("_touch_at") >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")).select(
+        "_moment.*", F.col("_touch_value").alias(value), F.col("_touch_at").alias(at)
     )
 
 
-def _in_slots(steps: DataFrame, asks: DataFrame, key: str, hours: int) -> DataFrame:
-    """The last touch within the moment's time slot, else the closing touch of the latest
-    slot before it.
+def _earlier_slots(marked: DataFrame, key: str, hours: int) -> DataFrame:
+    """For each slot of a heavy key with moments the closing touch (``_before``) of the
+    latest slot before it: the last in time, of those at one time the smallest value.
 
-    Touches of a key at one time are merged first, which bounds a slot by its length. The
-    closing touches are looked up per key and day; each is offered to its own day and the
-    days it can reach.
+    They are looked up per key and day; each is offered to its own day and the days it
+    can reach.
     """
-    slot = F.expr(f"unix_micros(cast(_at AS timestamp)) div {SLOT_MINUTES * 60_000_000}")
-    merged = steps.withColumn("_slot", slot).groupBy(key, "_slot", "_at").agg(F.min("_value").alias("_value"))
-    asks = asks.withColumn("_slot", slot)
-    here = _carried(merged, asks, [key, "_slot"])
-
-    closing = merged.groupBy(key, "_slot").agg(F.max(F.struct("_at", "_value")).alias("_closing"))
+    cut = marked.where("_heavy IS NOT NULL")
+    smallest = cut.where("_moment IS NULL").groupBy(key, "_slot", "_at").agg(F.min("_value").alias("_value"))
+    closing = smallest.groupBy(key, "_slot").agg(F.max_by(F.struct("_at", "_value"), "_at").alias("_closing"))
     first_day = _day()
     offered = closing.select(
         "*", F.explode(F.sequence(first_day, first_day + -(-hours // 24))).alias("_day")
     )
-    wanted = asks.select(key, "_slot").distinct().withColumn("_day", _day())
+    wanted = cut.where("_moment IS NOT NULL").select(key, "_slot").distinct().withColumn("_day", _day())
     day = Window.partitionBy(key, "_day").orderBy("_slot", F.col("_closing").isNotNull()).rowsBetween(*_THROUGH)
-    before = (
+    return (
         offered.unionByName(wanted, allowMissingColumns=True)
         .withColumn("_before", F.last("_closing", ignorenulls=True).over(day))
         .where("_closing IS NULL AND _before IS NOT NULL")
         .select(key, "_slot", "_before")
     )
-    return here.join(before, [key, "_slot"], "left").select(
-        key,
-        "_at",
-        "_moment",
-        F.coalesce("_touch_value", F.col("_before._value")).alias("_touch_value"),
-        F.coalesce("_touch_at", F.col("_before._at")).alias("_touch_at"),
-    )
 
 
 def _day() -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innmetrics.operators.skew import LIGHT_ROWS, heavy_keys, split_heavy
+from innmetrics.operators.skew import LIGHT_ROWS, heavy_keys, mark_heavy
 
 #: Microseconds of one time slot of a heavy key.
 SLOT = 3_600_000_000
@@ -32,8 +32,8 @@ def count_before(
     pairs: work is linear in events plus probes. NULL keys match nothing, as in an
     equi-join.
 
-    Light keys take one running count over the stacked rows of a key. Heavy keys are cut
-    into time slots first, see ``_count_in_slots``.
+    Probes and events are stacked and counted in one running pass per key. Heavy keys are
+    cut into time slots, each with its own pass; the totals of the slots before are added.
     """
     keys = list(keys)
     present = " AND ".join(f"{column} IS NOT NULL" for column in [*keys, "_at"])
@@ -41,53 +41,22 @@ def count_before(
     payload = F.struct(*[c for c in probes.columns if c not in keys])
     asks = probes.select(*keys, F.col(bound).alias("_at"), payload.alias("_probe"))
     answerable = asks.where(present)
-
     none = asks.where(f"NOT ({present})").select(*keys, "_probe", F.lit(0).cast("bigint").alias("_count"))
-    heavy = heavy_keys(steps.select(*keys).unionByName(answerable.select(*keys)), keys, light_rows)
-    if heavy is None:
-        counted = _running(_single(steps), answerable, keys)
-    else:
-        light_steps, heavy_steps = split_heavy(steps, heavy, keys)
-        light_asks, heavy_asks = split_heavy(answerable, heavy, keys)
-        counted = _running(_single(light_steps), light_asks, keys).unionByName(
-            _count_in_slots(heavy_steps, heavy_asks, keys)
-        )
-    return counted.unionByName(none).select(*keys, "_probe.*", F.col("_count").alias(name))
-
 
-def _single(steps: DataFrame) -> DataFrame:
-    return steps.withColumn("_n", F.lit(1).cast("bigint"))
-
-
-def _running(steps: DataFrame, asks: DataFrame, lane: Sequence[str]) -> DataFrame:
-    """Running sum of ``_n`` before each ask within its lane."""
+    stacked = answerable.withColumn("_n", F.lit(0).cast("bigint")).unionByName(
+        steps.withColumn("_n", F.lit(1).cast("bigint")), allowMissingColumns=True
+    )
+    marked = mark_heavy(stacked, heavy_keys(stacked, keys, light_rows), keys, F.expr(f"_at div {SLOT}"))
+    lane = [*keys, "_slot"]
     order = Window.partitionBy(*lane).orderBy(F.col("_at"), F.col("_probe").isNull())
-    stacked = asks.withColumn("_n", F.lit(0).cast("bigint")).unionByName(steps, allowMissingColumns=True)
-    return (
-        stacked.withColumn("_count", F.sum("_n").over(order.rowsBetween(*_THROUGH)))
+    within = (
+        marked.withColumn("_within", F.sum("_n").over(order.rowsBetween(*_THROUGH)))
         .where("_probe IS NOT NULL")
-        .select(*lane, "_probe", "_count")
-    )
-
-
-def _count_in_slots(steps: DataFrame, asks: DataFrame, keys: list[str]) -> DataFrame:
-    """The count within a time slot plus the total of the key's slots before it.
-
-    Events of a key at one time are merged before they meet, so neither many copies of a
-    row nor a key with much of the data end up in one task; what is left per key is one
-    row per slot.
-    """
-    slot = F.expr(f"_at div {SLOT}")
-    merged = steps.withColumn("_slot", slot).groupBy(*keys, "_slot", "_at").agg(F.count("*").alias("_n"))
-    asks = asks.withColumn("_slot", slot)
-    within = _running(merged, asks, [*keys, "_slot"])
-    totals = (
-        merged.select(*keys, "_slot", "_n")
-        .unionByName(asks.select(*keys, "_slot", F.lit(0).cast("bigint").alias("_n")))
-        .groupBy(*keys, "_slot")
-        .agg(F.sum("_n").alias("_n"))
+        .select(*lane, "_probe", "_within")
     )
+    totals = marked.where("_heavy IS NOT NULL").groupBy(*lane).agg(F.sum("_n").alias("_n"))
     earlier = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slot").rowsBetween(*_BEFORE))
-    shifts = totals.select(*keys, "_slot", earlier.alias("_earlier"))
-    count: Column = F.col("_count") + F.coalesce("_earlier", F.lit(0))
-    return within.join(shifts, [*keys, "_slot"], "left").select(*keys, "_probe", count.alias("_count"))
+    shifts = totals.select(*lane, earlier.alias("_earlier"))
+    count = F.col("_within") + F.coalesce("_earlier", F.lit(0))
+    counted = within.join(shifts, lane, "left").select(*keys, "_probe", count.alias("_count"))
+    return counted.unionByName(none).select(*keys, "_probe.*", F.col("_count").alias(name))

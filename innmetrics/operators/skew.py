@@ -4,41 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A key with at most so many rows is light whatever the size of the input.
 LIGHT_ROWS = 1_000_000
-#: Fewer keys than this can be heavy, since each holds more than 1/HEAVY_KEYS of all rows.
+#: At most so many keys are told to be heavy, of so many that the sketch follows.
 HEAVY_KEYS = 10_000
+TRACKED_KEYS = 100_000
 
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame | None:
-    """Keys with more rows than one task should take: over ``light_rows`` and over
-    1/HEAVY_KEYS of the input; None if there are none.
+def heavy_keys(rows: DataFrame, keys: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
+    """Hashes (``_heavy``) of keys with more than ``light_rows`` rows, as a lazy plan.
 
-    Runs a count by key, which combines within each input task and so shuffles keys and
-    not rows. The result has fewer than HEAVY_KEYS rows, so it can come to the driver and
-    be broadcast; knowing it while planning keeps the treatment of heavy keys out of
-    plans that have none. Callers must be exact for either kind of key.
+    One narrow pass fills a frequency sketch of bounded size in every task, and only the
+    sketches are merged. Its counts are estimates, and hashes can collide: callers must be
+    exact for either kind of key, so that a wrong guess costs time alone. The result has
+    at most HEAVY_KEYS rows, so it can be broadcast.
     """
-    counts = rows.select(*keys).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    share = F.ceil(F.sum("_rows") / HEAVY_KEYS)
-    limit = counts.agg(F.greatest(F.lit(light_rows), share).alias("limit")).scalar()
-    found = counts.where(F.col("_rows") > limit).select(*keys)
-    heavy = found.collect()
-    return rows.sparkSession.createDataFrame(heavy, found.schema) if heavy else None
+    top = rows.select(F.xxhash64(*keys).alias("key")).agg(
+        F.expr(f"approx_top_k(key, {HEAVY_KEYS}, {TRACKED_KEYS})").alias("top")
+    )
+    return top.select(F.inline("top")).where(F.col("count") > light_rows).select(F.col("item").alias("_heavy"))
 
 
-def split_heavy(rows: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of light keys and rows of heavy keys.
+def mark_heavy(rows: DataFrame, heavy: DataFrame, keys: Sequence[str], slot: Column) -> DataFrame:
+    """Adds ``_heavy``, NULL for rows of light keys, and ``_slot``: the value of ``slot``
+    for rows of heavy keys, NULL for others.
 
-    The mark comes from an outer join because a semi or anti join would be pushed below
-    an aggregation in ``rows``, and the two halves could no longer share its shuffle.
+    What only concerns heavy keys then filters on ``_heavy``, which turns this outer join
+    into an inner one; without heavy keys adaptive execution drops those branches before
+    they read anything.
     """
-    mark = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
-    marked = rows.join(mark, list(keys), "left")
-    return (
-        marked.where("_heavy IS NULL").select(*rows.columns),
-        marked.where("_heavy IS NOT NULL").select(*rows.columns),
-    )
+    marked = rows.join(F.broadcast(heavy), F.xxhash64(*keys) == F.col("_heavy"), "left")
+    return marked.withColumn("_slot", F.when(F.col("_heavy").isNotNull(), slot))

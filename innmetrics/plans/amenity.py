@@ -119,12 +119,12 @@ def amenity_lift(
 
 
 def amenity_city_top(lift: DataFrame, config: Config) -> DataFrame:
-    """The amenities with the highest confirmation lift per city and property type; lifts
-    equal to six places are ordered by amenity id."""
+    """The amenities with the highest confirmation lift per city and property type; equal
+    lifts are ordered by amenity id."""
     ranked = top_per_key(
         lift,
         ["city", "property_type"],
-        [F.round("confirmation_lift", 6).desc(), F.col("amenity_id")],
+        [F.col("confirmation_lift").desc(), F.col("amenity_id")],
         count=config.top_amenities,
         rank="rank",
     )

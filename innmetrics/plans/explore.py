@@ -7,18 +7,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innmetrics.operators.distinct import count_distinct
 from innmetrics.operators.share import count_shares
 
 
 def bookings_temporal(bookings: DataFrame, months: int = 12) -> DataFrame:
     """Bookings, users and properties per month, latest months first."""
     return (
-        bookings.groupBy(F.date_trunc("month", "created_at").alias("month"))
-        .agg(
-            F.count("*").alias("booking_count"),
-            F.countDistinct("user_id").alias("unique_users"),
-            F.countDistinct("property_id").alias("unique_properties"),
+        count_distinct(
+            bookings.withColumn("month", F.date_trunc("month", "created_at")),
+            ["month"],
+            {"unique_users": "user_id", "unique_properties": "property_id"},
+            {"booking_count": "*"},
         )
+        .select("month", "booking_count", "unique_users", "unique_properties")
         .orderBy(F.col("month").desc())
         .limit(months)
     )

@@ -93,7 +93,6 @@ def attributed_bookings(
         value="device",
         hours=config.attribution_hours,
         load=silver_clicks.select("user_id").unionByName(tables.bookings.select("user_id")),
-        merge_equal=True,
     )
     return top_per_key(
         touched,

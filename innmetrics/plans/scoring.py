@@ -15,20 +15,28 @@ def batch_score(
 ) -> DataFrame:
     """Applies ``score`` to blocks of feature vectors.
 
-    Rows stay where they are: there is no shuffle and a block is one Arrow batch. A block
-    the function rejects is reported in ``error`` and does not stop the others.
+    Rows stay where they are: there is no shuffle and a block is one Arrow batch. If the
+    function rejects a block, its rows are scored one by one, so only those that it
+    rejects alone carry an ``error``, whatever the size of a batch.
     """
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            result = pd.DataFrame({key: batch[key], "score": np.nan, "error": None})
+            vectors = batch[features].to_numpy()
             try:
-                result["score"] = score(np.stack(batch[features].to_numpy()).astype("float64"))
-            except Exception as problem:  # the caller's function may raise anything
-                result["error"] = str(problem)
-            yield result
+                scores, errors = score(np.stack(vectors).astype("float64")), None
+            except Exception:  # the caller's function may raise anything
+                pairs = [alone(vector) for vector in vectors]
+                scores, errors = [p[0] for p in pairs], [p[1] for p in pairs]
+            yield pd.DataFrame({key: batch[key], "score": scores, "error": errors})
+
+    def alone(vector) -> tuple[float, str | None]:
+        try:
+            return float(score(np.stack([vector]).astype("float64"))[0]), None
+        except Exception as problem:
+            return float("nan"), str(problem)
 
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(key, features).mapInPandas(blocks, f"{key} {kind}, score double, error string")

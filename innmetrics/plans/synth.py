@@ -104,8 +104,9 @@ def within_booking_range(events: DataFrame, bookings: DataFrame) -> DataFrame:
 
 def sample_pairs(bookings: DataFrame, count: int) -> DataFrame:
     """A repeatable random sample of user/property pairs that booked."""
-    order = draw(6, "user_id", "property_id")
-    return bookings.select("user_id", "property_id").distinct().orderBy(order, "user_id", "property_id").limit(count)
+    pair = ("user_id", "property_id")
+    order = [draw(6, *pair), draw(18, *pair), *pair]  # the second draw decides among equal first ones
+    return bookings.select(*pair).distinct().orderBy(*order).limit(count)
 
 
 def prelaunch_events(bookings: DataFrame, config: Config) -> DataFrame:
@@ -128,20 +129,33 @@ def prelaunch_events(bookings: DataFrame, config: Config) -> DataFrame:
     )
 
 
-def browse_only_users(bookings: DataFrame, config: Config) -> int:
-    """How many users must browse without booking for the target conversion."""
-    bookers = bookings.agg(F.countDistinct("user_id").alias("n")).first()["n"]
-    return int(bookers / config.target_conversion) - bookers
+def browse_floor(bookings: DataFrame, config: Config) -> Column:
+    """First id of browse-only users: beyond every booker's."""
+    beyond = F.greatest(F.max("user_id") + 1, F.lit(config.browse_user_floor))
+    return bookings.agg(F.coalesce(beyond, F.lit(config.browse_user_floor)).cast("bigint").alias("floor")).scalar()
+
+
+def browse_only_users(bookings: DataFrame, config: Config) -> DataFrame:
+    """user_id of as many new users as must browse without booking for the target
+    conversion. Each booker brings its share of them, so their number need not be known
+    before the plan runs."""
+    bookers = dense_index(bookings.where("user_id IS NOT NULL"), "user_id", name="place")
+    count = bookings.agg(F.countDistinct("user_id").alias("n")).scalar()
+    floor = browse_floor(bookings, config)
+    sized = bookers.select("place", count.alias("bookers"), floor.alias("floor")).withColumn(
+        "browsers", F.floor(F.col("bookers") / F.lit(config.target_conversion)) - F.col("bookers")
+    )
+    share = "sequence(place * browsers div bookers, (place + 1) * browsers div bookers - 1)"
+    own = "place * browsers div bookers < (place + 1) * browsers div bookers"
+    numbered = sized.where(own).select("floor", F.explode(F.expr(share)).alias("number"))
+    return numbered.select((F.col("floor") + F.col("number")).alias("user_id"))
 
 
 def browse_only_events(bookings: DataFrame, config: Config) -> DataFrame:
     """One to six views per browse-only user, on properties that have bookings."""
-    floor = config.browse_user_floor
     properties = dense_index(bookings.where("property_id IS NOT NULL"), "property_id", name="place")
     choices = bookings.agg(F.countDistinct("property_id").alias("n")).scalar().alias("choices")
-    users = bookings.sparkSession.range(floor, floor + browse_only_users(bookings, config)).withColumnRenamed(
-        "id", "user_id"
-    )
+    users = browse_only_users(bookings, config)
     number = F.explode(F.sequence(F.lit(0).cast("bigint"), draw(13, "user_id") % 6))
     ids = ("user_id", "event_num")
     span = int((config.browse_end - config.browse_start).total_seconds())

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from innmetrics.config import Config
 from innmetrics.functions.measures import HUNDRED, percent_share
+from innmetrics.operators.distinct import count_distinct
 from innmetrics.operators.prefix import count_before
+from innmetrics.plans.synth import browse_floor
 
 _PAIR = ["user_id", "property_id"]
 
@@ -77,7 +79,7 @@ def temporal_distribution(bookings: DataFrame, clickstream: DataFrame) -> DataFr
     def at(name: str) -> Column:
         return F.sum(F.when(F.col("bound_name") == name, F.col("events_before")).otherwise(0))
 
-    per_booking = counted.groupBy("booking_id").agg(*[at(name).alias(name) for name, _ in bounds])
+    per_booking = counted.groupBy("booking_id", *_PAIR).agg(*[at(name).alias(name) for name, _ in bounds])
     reached = ["all", *[name for name, _ in limits]]
     lines = []
     for place, (name, hours) in enumerate(LEAD_BUCKETS):
@@ -123,32 +125,32 @@ def touches_in_window(bookings: DataFrame, touches: DataFrame, hours: int = 24)
     probes = bookings.select("booking_id", "user_id", F.inline(parts))
     events = touches.select("user_id", F.unix_micros("timestamp").alias("at"))
     counted = count_before(probes, events, ["user_id"], bound="bound", at="at")
-    per_booking = counted.groupBy("booking_id").agg(F.sum(F.col("sign") * F.col("events_before")).alias("touches"))
-    return per_booking.where("touches > 0")
+    signed = F.sum(F.col("sign") * F.col("events_before"))
+    per_booking = counted.groupBy("booking_id", "user_id").agg(signed.alias("touches"))
+    return per_booking.where("touches > 0").select("booking_id", "touches")
 
 
 def timestamp_range_compare(clickstream: DataFrame, bookings: DataFrame) -> DataFrame:
     def summary(rows: DataFrame, source: str, at: str) -> DataFrame:
-        return rows.agg(
-            F.lit(source).alias("source"),
-            F.count("*").alias("total_events"),
-            F.countDistinct("user_id").alias("unique_users"),
-            F.countDistinct("property_id").alias("unique_properties"),
-            F.min(at).alias("earliest_event"),
-            F.max(at).alias("latest_event"),
-        )
+        counted = traffic_summary(rows, at, "earliest_event", "latest_event")
+        return counted.select(F.lit(source).alias("source"), "*")
 
     return summary(clickstream, "synthetic", "timestamp").unionByName(summary(bookings, "bookings", "created_at"))
 
 
 def clickstream_summary(clickstream: DataFrame) -> DataFrame:
-    return clickstream.agg(
-        F.count("*").alias("total_events"),
-        F.countDistinct("user_id").alias("unique_users"),
-        F.countDistinct("property_id").alias("unique_properties"),
-        F.min("timestamp").alias("min_timestamp"),
-        F.max("timestamp").alias("max_timestamp"),
-    )
+    return traffic_summary(clickstream, "timestamp", "min_timestamp", "max_timestamp")
+
+
+def traffic_summary(rows: DataFrame, at: str, first: str, last: str) -> DataFrame:
+    """Rows, users, properties and the first and last moment."""
+    return count_distinct(
+        rows,
+        [],
+        {"unique_users": "user_id", "unique_properties": "property_id"},
+        {"total_events": "*"},
+        {first: ("min", at), last: ("max", at)},
+    ).select("total_events", "unique_users", "unique_properties", first, last)
 
 
 def user_segmentation(clickstream: DataFrame, bookings: DataFrame) -> DataFrame:
@@ -179,7 +181,7 @@ def conversion_rate(clickstream: DataFrame, bookings: DataFrame) -> DataFrame:
 
 def nonbooking_check(clickstream: DataFrame, bookings: DataFrame, config: Config) -> DataFrame:
     """Browse-only users, and how many of them have a booking against the rules."""
-    users = _user_flags(clickstream, bookings).where(F.col("user_id") >= config.browse_user_floor)
+    users = _user_flags(clickstream, bookings).where(F.col("user_id") >= browse_floor(bookings, config))
     return users.agg(
         F.count_if("viewed").alias("non_booking_viewers"),
         F.count_if(F.col("viewed") & F.col("booked")).alias("non_booking_users_with_bookings"),
@@ -197,8 +199,8 @@ def _user_flags(clickstream: DataFrame, bookings: DataFrame) -> DataFrame:
     )
 
 
-def events_by_user_type(clickstream: DataFrame, config: Config) -> DataFrame:
-    browse_only = F.col("user_id") >= config.browse_user_floor
+def events_by_user_type(clickstream: DataFrame, bookings: DataFrame, config: Config) -> DataFrame:
+    browse_only = F.col("user_id") >= browse_floor(bookings, config)
     users = (
         clickstream.groupBy("user_id")
         .agg(F.count("*").alias("events"))

@@ -7,17 +7,19 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from innmetrics.functions.draws import MODULUS, draw
+from innmetrics.config import Config
+from innmetrics.functions.draws import MODULUS, draw, scaled
 from innmetrics.operators.dense_index import dense_index
-from innmetrics.operators.distinct import count_members
+from innmetrics.operators.distinct import count_distinct, count_members
 from innmetrics.operators.joins import left_join_many
 from innmetrics.operators.last_touch import last_touch
 from innmetrics.operators.prefix import count_before
 from innmetrics.operators.quality import DROP, FAIL, Constraint, enforce, observed, report
 from innmetrics.operators.ranking import top_per_key
 from innmetrics.operators.share import count_shares
-from innmetrics.operators.skew import heavy_keys, split_heavy
+from innmetrics.operators.skew import heavy_keys, mark_heavy
 from innmetrics.plans import synth
+from innmetrics.plans.scoring import batch_score, linear_score
 
 START = datetime(2024, 1, 1)
 
@@ -103,12 +105,9 @@ def test_count_before_equals_brute_force(spark, seed, light_rows):
 def test_heavy_keys(spark, light_rows, expected):
     frame = spark.createDataFrame([(7,)] * 500 + [(1,)] * 50 + [(2,)] * 3, "k long")
     heavy = heavy_keys(frame, ["k"], light_rows)
-    assert sorted(r.k for r in heavy.collect()) == expected if expected else heavy is None
-    if heavy is None:
-        return
-    light_part, heavy_part = split_heavy(frame, heavy, ["k"])
-    assert {r.k for r in heavy_part.collect()} == set(expected)
-    assert light_part.count() + heavy_part.count() == 553
+    marked = mark_heavy(frame, heavy, ["k"], F.lit(5))
+    assert sorted(r.k for r in marked.where("_slot = 5").select("k").distinct().collect()) == expected
+    assert marked.count() == 553
 
 
 def test_count_members_equals_conditional_distinct_counts(spark):
@@ -181,6 +180,55 @@ def test_observed_counts_while_writing(spark):
 # -------------------------------------------------------------------------------- draws
 
 
+def test_ids_a_modulus_apart_draw_differently(spark):
+    far = spark.range(2000).select(
+        draw(1, "id").alias("a"), draw(1, f"(id + {MODULUS}L)").alias("b"), draw(1, "(id + 1000003L)").alias("c")
+    )
+    assert far.where("a = b OR a = c").count() <= 2
+    assert spark.range(3_000_000).select(draw(14, "id").alias("a")).distinct().count() > 2_990_000
+
+
+def test_span_of_a_draw_is_checked(spark):
+    assert spark.range(5).select(scaled(1, MODULUS, "id")).count() == 5
+    with pytest.raises(Exception, match="too large"):
+        spark.range(5).select(scaled(1, f"(id + {MODULUS + 1}L)", "id")).collect()
+
+
+def test_browse_only_users_are_beyond_all_bookers(spark):
+    bookings = spark.range(400_000, 400_100).selectExpr("id AS user_id", "id % 7 AS property_id")
+    users = [r.user_id for r in synth.browse_only_events(bookings, Config()).select("user_id").distinct().collect()]
+    assert len(users) == int(100 / 0.44) - 100
+    assert min(users) == 400_100 and max(users) == 400_100 + len(users) - 1
+    few = spark.range(3).selectExpr("id AS user_id", "id AS property_id")
+    assert sorted(r.user_id for r in synth.browse_only_users(few, Config()).collect()) == [200_000, 200_001, 200_002]
+    assert synth.browse_only_users(few.limit(0), Config()).count() == 0
+
+
+@pytest.mark.parametrize("size", [10, 1000])
+def test_a_bad_row_costs_no_other_its_score(spark, size):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    vectors = spark.range(500).selectExpr("id", "if(id = 77, NULL, array(1.0, cast(id AS double))) AS v")
+    scored = batch_score(vectors, "id", "v", linear_score)
+    assert [r.id for r in scored.where("error IS NOT NULL").collect()] == [77]
+    assert scored.where("score IS NOT NULL").count() == 499
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_equal_moments_give_equal_rows_on_both_paths(spark):
+    moments = spark.createDataFrame([(1, 1, datetime(2024, 1, 2))] * 2, "id long, user long, moment timestamp")
+    touches = spark.createDataFrame([(1, datetime(2024, 1, 2), "m")] * 3, "user long, at timestamp, device string")
+    for light in (0, 1_000_000):
+        found = last_touch(moments, touches, "user", "moment", "at", "device", light_rows=light)
+        assert found.count() == 2
+
+
+def test_count_distinct(spark):
+    frame = spark.createDataFrame([("x", 1, 2), ("x", 1, None), ("y", None, 3), (None, 4, 3)], "g string, a long, b long")
+    found = count_distinct(frame, ["g"], {"da": "a", "db": "b"}, {"n": "*"}, {"most": ("max", "b")})
+    assert rows(found) == [(None, 1, 1, 1, 3), ("x", 1, 1, 2, 2), ("y", 0, 1, 1, 3)]
+    assert rows(count_distinct(frame.limit(0), [], {"da": "a"}, {"n": "*"})) == [(0, 0)]
+
+
 def test_draws_are_uniform_and_streams_independent(spark):
     draws = spark.range(60_000).select(draw(1, "id").alias("a"), draw(2, "id").alias("b"))
     low = F.col("a") < MODULUS // 2

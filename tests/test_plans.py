@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401  registers the queries
+from innmetrics.checks.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,19 +21,19 @@ PLANS: dict[str, str] = {}
 
 def plan(spark, name: str) -> str:
     if name not in PLANS:
-        frame = entry.queries()[name](spark, SF_DIR)
+        frame = QUERIES[name](spark, SF_DIR)
         PLANS[name] = frame._jdf.queryExecution().executedPlan().toString()
     return PLANS[name]
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_crossing_of_rows(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING - {"batch_score", "scorer_mean"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING - {"batch_score", "scorer_mean"}))
 def test_no_python_in_the_plan(spark, name):
     assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups", plan(spark, name))
 
@@ -50,8 +51,26 @@ def test_scans_read_only_needed_columns(spark):
 def test_whole_window_is_never_one_task(spark):
     """A window without partitions would pull its input into one task; the one allowed
     holds the bucket sizes of the dense index."""
-    for name in sorted(set(entry.queries()) - WRITING):
+    for name in sorted(set(QUERIES) - WRITING):
         for window in re.findall(r"\bWindow \[.*", plan(spark, name)):
             partitions = re.search(r"\], \[(.*?)\]", window)
             if "_size" not in window:
                 assert partitions and partitions.group(1), (name, window[:200])
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["events_per_booking", "temporal_distribution", "invalid_events", "last_touch", "device_funnel",
+     "synth_nonbooking_events", "validation_verdicts"],
+)
+def test_building_runs_no_job(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"building-{name}", name)
+    QUERIES[name](spark, SF_DIR)
+    assert tracker.getJobIdsForGroup(f"building-{name}") == ()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["clickstream_summary", "timestamp_range_compare", "bookings_temporal"])
+def test_distinct_counts_copy_no_rows(spark, name):
+    assert "Expand" not in plan(spark, name)
