@@ -1,7 +1,8 @@
-"""Jobs for spark-submit: generate traffic, refresh the tables, publish them.
+"""Jobs for spark-submit: generate traffic, ingest new events, refresh and publish the tables.
 
     python -m innmetrics generate --source lab.market --output /shared/clicks
-    python -m innmetrics refresh --source lab.market --output /shared/tables --publish serving
+    python -m innmetrics ingest --clicks '/shared/drops/*' --output /shared/silver
+    python -m innmetrics refresh --source lab.market --output /shared/tables --streamed /shared/silver/events
 """
 
 from __future__ import annotations
@@ -13,23 +14,32 @@ from pyspark.sql import SparkSession
 
 from innmetrics.config import Config
 from innmetrics.plans.pipeline import Marketplace, refresh
+from innmetrics.plans.silver import silver_clickstream
 from innmetrics.plans.synth import synthetic_clickstream
 from innmetrics.sources.serving import sync_all
-from innmetrics.sources.tables import MarketTables
+from innmetrics.sources.tables import SCHEMAS, MarketTables
+from innmetrics.streaming.ingest import file_stream, ingest_clickstream
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="innmetrics")
-    parser.add_argument("job", choices=["generate", "refresh"])
-    parser.add_argument("--source", required=True, help="catalog schema, or with --parquet a folder, of the inputs")
+    parser.add_argument("job", choices=["generate", "ingest", "refresh"])
+    parser.add_argument("--source", help="catalog schema, or with --parquet a folder, of the inputs")
     parser.add_argument("--parquet", action="store_true", help="the inputs are parquet folders")
     parser.add_argument("--clickstream", help="full name of another clickstream table")
+    parser.add_argument("--clicks", help="ingest: folder or glob of raw clickstream files, which only gains files")
+    parser.add_argument("--streamed", help="refresh: event table that ingest keeps, used instead of raw events")
     parser.add_argument("--output", required=True, help="folder for the results")
     parser.add_argument("--publish", help="catalog schema for the serving tables")
     parser.add_argument("--as-of", type=date.fromisoformat, help="day on which stays count as past")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("innmetrics").getOrCreate()
+    if options.job == "ingest":
+        source = file_stream(spark, options.clicks, SCHEMAS["clickstream"])
+        query = ingest_clickstream(source, f"{options.output}/events", f"{options.output}/checkpoint")
+        print(query.lastProgress and dict(query.lastProgress["observedMetrics"]))
+        return
     renamed = {"clickstream": options.clickstream} if options.clickstream else {}
     if options.parquet:
         tables = MarketTables.from_parquet(spark, options.source)
@@ -40,7 +50,11 @@ def main(arguments: list[str] | None = None) -> None:
     if options.job == "generate":
         synthetic_clickstream(tables.bookings, config).write.mode("overwrite").parquet(options.output)
         return
-    written, violations = refresh(Marketplace(tables, config), options.output)
+    streamed = None
+    if options.streamed:
+        columns = silver_clickstream(tables.clickstream).schema
+        streamed = spark.read.schema(columns).parquet(options.streamed).select(*columns.names)
+    written, violations = refresh(Marketplace(tables, config), options.output, streamed)
     for dataset, counts in violations.items():
         print(dataset, counts)
     if options.publish:

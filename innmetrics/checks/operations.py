@@ -138,10 +138,16 @@ def table_crud(i: Inputs):
         F.col("s_acctbal").alias("c_acctbal"),
         F.lit("SUPPLIER").alias("c_mktsegment"),
     )
-    table = serving.insert_rows(i.raw("customer"), added)
+    root = i.folder("crud")
+    schema = _schema("crud", root)
+    serving.create_schema(i.spark, schema, root)
+    table = serving.ServingTable(i.spark, f"{schema}.customers", ("c_custkey",), root)
+    table.snapshot(i.raw("customer"))
+    table.insert(added)
     building = F.col("c_mktsegment") == "BUILDING"
-    table = serving.delete_rows(table, (F.col("c_acctbal") < 0) & ~building)
-    return serving.update_rows(table, building, {"c_acctbal": F.col("c_acctbal") + 100})
+    table.delete((F.col("c_acctbal") < 0) & ~building)
+    table.update(building, {"c_acctbal": F.col("c_acctbal") + 100})
+    return table.read()
 
 
 # ------------------------------------------------------------------- operational checks

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from innmetrics.config import Config
-from innmetrics.operators.quality import Constraint, observed, report
+from innmetrics.operators.quality import Constraint, enforce, observed
 from innmetrics.plans import amenity, funnels, performance, segments, silver
+from innmetrics.session import folder_exists
 from innmetrics.sources.tables import MarketTables
 
 
@@ -68,14 +71,15 @@ class Marketplace:
 
     def create_views(self, prefix: str = "") -> None:
         """Temporary views of all datasets, for SQL."""
-        for name in ("date_boundaries", *WARNING_RULES):
+        for name in ("date_boundaries", *RULES):
             getattr(self, name).createOrReplaceTempView(prefix + name)
 
 
-#: Tables in build order, with the rules that only warn.
-WARNING_RULES: dict[str, tuple[Constraint, ...]] = {
-    "silver_clickstream": (),
-    "silver_bookings_enriched": (),
+#: Tables in build order, with their rules. Those of silver tables are judged on the rows
+#: before the rules, the others only warn.
+RULES: dict[str, tuple[Constraint, ...]] = {
+    "silver_clickstream": silver.CLICKSTREAM_RULES,
+    "silver_bookings_enriched": silver.BOOKING_RULES,
     "city_funnel": funnels.FUNNEL_RULES,
     "city_investment": (),
     "property_performance": performance.PERFORMANCE_RULES,
@@ -89,43 +93,75 @@ WARNING_RULES: dict[str, tuple[Constraint, ...]] = {
 PARTITIONED = {"silver_clickstream": "event_date"}
 
 
-def refresh(market: Marketplace, root: str) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
-    """Writes every table below ``root`` and returns them with their violation counts.
+def refresh(
+    market: Marketplace, root: str, streamed: DataFrame | None = None
+) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
+    """Writes every table of a new version below ``root`` and returns them with their
+    violation counts.
 
     Each table is read back before the next one uses it: written tables cut the lineage,
-    and a lost executor costs at most the table being written. Violations are counted in
-    the writing pass itself.
+    and a lost executor costs at most the table being written. Violations of all rules are
+    counted in the writing pass itself. The version becomes the current one only when all
+    its tables are done, so a failing constraint leaves the old tables as they were, and
+    together. ``streamed`` is a cleaned event table kept by ingest; it is used as it is,
+    and history isn't read again.
     """
     spark = market.tables.bookings.sparkSession
     market = Marketplace(market.tables, market.config)
+    version = uuid.uuid4().hex
     written: dict[str, DataFrame] = {}
     violations: dict[str, dict[str, int]] = {}
-    for name, rules in WARNING_RULES.items():
-        rows = getattr(market, name)
-        path = f"{root}/{name}"
-        if rules:
-            rows, observation = observed(rows, rules, name)
-        writer = rows.write.mode("overwrite")
+    for name, rules in RULES.items():
+        if name == "silver_clickstream" and streamed is not None:
+            written[name] = vars(market)[name] = streamed
+            continue
+        if name in _BEFORE_RULES:
+            rows, observation = observed(_BEFORE_RULES[name](market.tables), rules, name)
+            rows = enforce(rows, rules)
+        else:
+            rows = getattr(market, name)
+            if rules:
+                rows, observation = observed(rows, rules, name)
+        writer = rows.write
         if name in PARTITIONED:
             # Rebalancing gathers a date's rows in few files and splits a date that is too
             # big for one; otherwise every task would leave a file for every date.
-            writer = rows.hint("rebalance", PARTITIONED[name]).write.mode("overwrite").partitionBy(PARTITIONED[name])
+            writer = rows.hint("rebalance", PARTITIONED[name]).write.partitionBy(PARTITIONED[name])
+        path = f"{root}/{version}/{name}"
         writer.parquet(path)
         if rules:
             violations[name] = observation.get
         written[name] = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
         vars(market)[name] = written[name]  # later datasets build on the written one
+    done = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+    done.coalesce(1).write.mode("append").parquet(f"{root}/{VERSIONS}")
     return written, violations
 
 
-def quality_report(market: Marketplace) -> DataFrame:
-    """Passed and failed rows of every constraint; dropping ones are judged on their input."""
-    parts = [
-        report(silver.flat_clickstream(market.tables.clickstream), "silver_clickstream", silver.CLICKSTREAM_RULES),
-        report(silver.bookings_before_rules(market.tables), "silver_bookings_enriched", silver.BOOKING_RULES),
+_BEFORE_RULES = {
+    "silver_clickstream": lambda tables: silver.flat_clickstream(tables.clickstream),
+    "silver_bookings_enriched": silver.bookings_before_rules,
+}
+
+#: Folder of the versions that are complete; it only ever gains rows.
+VERSIONS = "_versions"
+
+
+def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the latest complete version below ``root``, without a streamed one."""
+    version = spark.read.parquet(f"{root}/{VERSIONS}").orderBy(F.desc("at"), "version").first().version
+    names = [name for name in RULES if folder_exists(spark, f"{root}/{version}/{name}")]
+    return {name: spark.read.parquet(f"{root}/{version}/{name}") for name in names}
+
+
+def quality_report(spark: SparkSession, violations: dict[str, dict[str, int]]) -> DataFrame:
+    """(dataset, constraint, action, passed, failed) of every rule, from the counts that
+    the writing pass of ``refresh`` made."""
+    lines = [
+        (name, rule.name, rule.action, counts["row_count"] - counts[rule.name], counts[rule.name])
+        for name, counts in violations.items()
+        for rule in RULES[name]
     ]
-    parts += [report(getattr(market, name), name, rules) for name, rules in WARNING_RULES.items() if rules]
-    lines = parts[0]
-    for part in parts[1:]:
-        lines = lines.unionByName(part)
-    return lines
+    return spark.createDataFrame(
+        lines, "dataset STRING, constraint STRING, action STRING, passed BIGINT, failed BIGINT"
+    )

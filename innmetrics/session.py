@@ -36,3 +36,9 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         shared = tempfile.mkdtemp(prefix="innmetrics-")
     return f"{shared.rstrip('/')}/innmetrics/{purpose}-{uuid.uuid4().hex}"
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists in whatever store ``path`` names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -74,6 +74,16 @@ class ServingTable:
         base = self.read() if self.exists() else changes.limit(0)
         self.snapshot(newest(base, changes, self.keys, latest))
 
+    def insert(self, rows: DataFrame) -> None:
+        """Adds rows; a key that is there already is an error and changes nothing."""
+        self.snapshot(insert_rows(self.read(), rows))
+
+    def update(self, where: Column, changed: Mapping[str, Column]) -> None:
+        self.snapshot(update_rows(self.read(), where, changed))
+
+    def delete(self, where: Column) -> None:
+        self.snapshot(delete_rows(self.read(), where))
+
     def _move(self, path: str, written: DataFrame) -> None:
         if self.exists() and self.read().schema.simpleString() != written.schema.simpleString():
             self.spark.sql(f"DROP TABLE {self.name}")

@@ -9,7 +9,8 @@ from conftest import at, booking, event, payment, rows
 from innmetrics import Config
 from innmetrics.plans import performance, segments
 from innmetrics.plans.amenity import amenity_city_top
-from innmetrics.plans.pipeline import quality_report
+from innmetrics.plans.pipeline import quality_report, refresh
+from innmetrics.session import work_folder
 
 # ------------------------------------------------------------------------------- silver
 
@@ -291,16 +292,20 @@ def test_diagnosis_without_mobile_or_desktop(spark):
 # ------------------------------------------------------------------------------ quality
 
 
-def test_report_counts_null_predicates_as_failed(market):
+def _report(spark, market):
+    return quality_report(spark, refresh(market, work_folder(spark, "test"))[1]).collect()
+
+
+def test_report_counts_null_predicates_as_failed(market, spark):
     m = market(clickstream=[event(1, 1), event(1, 1, None), event(None, 1)])
-    found = {(r.dataset, r.constraint): (r.action, r.passed, r.failed) for r in quality_report(m).collect()}
+    found = {(r.dataset, r.constraint): (r.action, r.passed, r.failed) for r in _report(spark, m)}
     assert len(found) == 15
     assert found["silver_clickstream", "valid_event"] == ("drop", 2, 1)
     assert found["silver_clickstream", "valid_user_id"] == ("drop", 2, 1)
 
 
-def test_warning_fires_when_bookings_exceed_views(market):
+def test_warning_fires_when_bookings_exceed_views(market, spark):
     m = market(clickstream=_viewed([1], 1), bookings=[booking(n, 1, 1, "confirmed") for n in range(3)])
-    found = {(r.dataset, r.constraint): r.failed for r in quality_report(m).collect()}
+    found = {(r.dataset, r.constraint): r.failed for r in _report(spark, m)}
     assert found["property_performance", "valid_initiation_rate"] == 1
     assert found["property_performance", "logical_funnel"] == 0

@@ -5,6 +5,7 @@ from dataclasses import fields
 import pytest
 
 from innmetrics.__main__ import main
+from innmetrics.plans.pipeline import current_tables
 from innmetrics.session import work_folder
 from innmetrics.sources.tables import MarketTables
 from innmetrics.sources.testdata import market_tables
@@ -27,9 +28,10 @@ def test_refresh_and_publish(spark, exported, capsys):
     )
     printed = capsys.readouterr().out
     assert "city_funnel" in printed and printed.count("success") == 7
-    assert spark.table(f"{schema}.city_funnel").count() == spark.read.parquet(f"{out}/city_funnel").count() > 0
-    dates = spark.read.parquet(f"{out}/silver_clickstream").select("event_date").distinct().count()
-    files = len(spark.read.parquet(f"{out}/silver_clickstream").inputFiles())
+    assert spark.table(f"{schema}.city_funnel").count() == current_tables(spark, out)["city_funnel"].count() > 0
+    clicks = current_tables(spark, out)["silver_clickstream"]
+    dates = clicks.select("event_date").distinct().count()
+    files = len(clicks.inputFiles())
     assert dates == files == 30
 
 
@@ -46,10 +48,24 @@ def test_generate_then_refresh_on_generated_traffic(spark, exported):
     main(
         ["refresh", "--source", schema, "--clickstream", f"{schema}.clicks", "--output", f"{out}/tables"]
     )
-    funnel = spark.read.parquet(f"{out}/tables/city_funnel")
+    funnel = current_tables(spark, f"{out}/tables")["city_funnel"]
     assert funnel.where("viewers > 0 AND clickers = 0").count() > 0
 
 
+def test_ingest_then_refresh(spark, exported):
+    out = work_folder(spark, "job")
+    main(["ingest", "--clicks", f"{exported}/clickstream", "--output", f"{out}/silver"])
+    main(["refresh", "--parquet", "--source", exported, "--output", f"{out}/a", "--as-of", "2024-01-20"])
+    streamed = f"{out}/silver/events"
+    main(
+        ["refresh", "--parquet", "--source", exported, "--output", f"{out}/b", "--as-of", "2024-01-20",
+         "--streamed", streamed]
+    )
+    a, b = (current_tables(spark, f"{out}/{part}") for part in "ab")
+    assert set(a) - set(b) == {"silver_clickstream"}
+    assert all(sorted(map(str, a[name].collect())) == sorted(map(str, b[name].collect())) for name in b)
+
+
 def test_views(market, spark):
     market().create_views("m_")
     assert spark.sql("SELECT count(*) AS n FROM m_city_funnel").first().n == 0

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 #: Queries that write and read back; their plans are those of the datasets they write.
 WRITING = {
     "mv_refresh", "sync_all_summary", "snapshot_sync", "incremental_upsert", "stream_upsert",
-    "stream_silver_clickstream",
+    "stream_silver_clickstream", "table_crud", "quality_report",
 }
 
 

@@ -1,14 +1,15 @@
 """Snapshots, merges, change streams and incremental ingest."""
 
 import pytest
-from conftest import event, rows
+from conftest import booking, event, rows
 from pyspark.sql import functions as F
 
 from innmetrics.config import Config
 from innmetrics.plans import validate
-from innmetrics.plans.pipeline import WARNING_RULES, refresh
+from innmetrics.plans.pipeline import RULES, Marketplace, current_tables, quality_report, refresh
 from innmetrics.session import work_folder
 from innmetrics.sources import serving
+from innmetrics.sources.catalog import describe, list_tables
 from innmetrics.sources.serving import DuplicateKeyError, ServingTable, SyncTarget, sync_all
 from innmetrics.sources.tables import SCHEMAS
 from innmetrics.streaming.changes import current_rows, stream_changes
@@ -86,7 +87,7 @@ def test_sync_reports_success_errors_and_skips(spark):
 def test_refresh_writes_every_table_and_counts_violations(market, spark):
     m = market(clickstream=[event(1, 1), event(1, 1, "hover")])
     written, violations = refresh(m, work_folder(spark, "test"))
-    assert list(written) == list(WARNING_RULES)
+    assert list(written) == list(RULES)
     assert rows(written["silver_clickstream"], "event") == [("view",)]
     assert rows(written["city_funnel"], "city", "viewers") == [("Porto", 1)]
     assert violations["city_funnel"] == {
@@ -94,6 +95,58 @@ def test_refresh_writes_every_table_and_counts_violations(market, spark):
     }
 
 
+def test_a_failing_constraint_leaves_all_old_tables(market, spark):
+    root = work_folder(spark, "test")
+    refresh(market(clickstream=[event(1, 1)], bookings=[booking(1, 1, 1)]), root)
+    before = {name: rows(table) for name, table in current_tables(spark, root).items()}
+    with pytest.raises(Exception, match="required_booking_id"):
+        refresh(market(clickstream=[event(2, 2)], bookings=[booking(None, 1, 1)]), root)
+    assert {name: rows(table) for name, table in current_tables(spark, root).items()} == before
+    assert before["silver_bookings_enriched"] and set(before) == set(RULES)
+    refresh(market(clickstream=[event(2, 2)]), root)
+    assert rows(current_tables(spark, root)["silver_clickstream"], "user_id") == [(2,)]
+
+
+def test_dropped_rows_are_counted_while_writing(market, spark):
+    m = market(clickstream=[event(1, 1), event(None, 1), event(1, 1, "hover")], bookings=[booking(1, 1, 1)])
+    _, violations = refresh(m, work_folder(spark, "test"))
+    found = rows(quality_report(spark, violations))
+    assert len(found) == 15
+    assert ("silver_clickstream", "valid_user_id", "drop", 2, 1) in found
+    assert ("silver_clickstream", "valid_event", "drop", 2, 1) in found
+    assert ("silver_bookings_enriched", "required_booking_id", "fail", 1, 0) in found
+
+
+def test_refresh_on_ingested_events_equals_the_batch(market, spark):
+    root = work_folder(spark, "test")
+    drops = [[event(1, 1), event(2, 1, "click"), event(None, 2)], [event(2, 2, "hover"), event(3, 2)]]
+    for n, drop in enumerate(drops):
+        spark.createDataFrame(drop, SCHEMAS["clickstream"]).write.parquet(f"{root}/in/drop{n}")
+        source = file_stream(spark, f"{root}/in/*", SCHEMAS["clickstream"])
+        ingest_clickstream(source, f"{root}/out", f"{root}/checkpoint")
+    m = market(clickstream=drops[0] + drops[1], bookings=[booking(1, 1, 1), booking(2, 3, 2)])
+    schema = m.silver_clickstream.schema
+    streamed = spark.read.schema(schema).parquet(f"{root}/out").select(*schema.names)
+    batch, _ = refresh(m, f"{root}/batch")
+    followed, _ = refresh(Marketplace(m.tables, m.config), f"{root}/followed", streamed)
+    assert {name: rows(t) for name, t in followed.items()} == {name: rows(t) for name, t in batch.items()}
+
+
+def test_stored_rows_can_be_changed(spark, table):
+    table.snapshot(frame(spark, (1, 1, "a"), (2, None, "b")))
+    table.insert(frame(spark, (3, 3, "c")))
+    with pytest.raises(DuplicateKeyError):
+        table.insert(frame(spark, (3, 4, "again")))
+    table.update(F.col("at") > 1, {"v": F.lit("z")})
+    table.delete(F.col("at") == 1)
+    assert rows(table.read()) == [(2, None, "b"), (3, 3, "z")]
+    schema, name = table.name.split(".")
+    assert [r.table for r in list_tables(spark, schema).collect()] == [name]
+    assert [(r.column_name, r.type) for r in describe(spark, table.name).collect()] == [
+        ("k", "bigint"), ("at", "bigint"), ("v", "string")
+    ]
+
+
 # ------------------------------------------------------------------------------ streams
 
 
