@@ -42,3 +42,19 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder exists in whatever store ``path`` names."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote, in whatever store ``path`` names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Complete folders right below ``path``: those that a Spark writer has committed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    found = [status.getPath().toString() for status in store.listStatus(place) if status.isDirectory()]
+    return sorted(f for f in found if folder_exists(spark, f"{f}/_SUCCESS"))

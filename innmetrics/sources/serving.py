@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innmetrics.operators.ranking import duplicate_keys, top_per_key
+from innmetrics.session import remove_folder
 
 
 class DuplicateKeyError(ValueError):
@@ -22,6 +23,9 @@ class SyncTarget:
     table: str
     keys: tuple[str, ...]
     description: str
+    #: "snapshot" replaces the table; "merge" folds rows in by ``latest``.
+    mode: str = "snapshot"
+    latest: tuple[str, ...] = ()
 
 
 # The published tables and their primary keys. The top amenities are keyed
@@ -64,6 +68,7 @@ class ServingTable:
         written = self.spark.read.parquet(path)
         repeated = duplicate_keys(written, self.keys).limit(1).collect()
         if repeated:
+            remove_folder(self.spark, path)
             raise DuplicateKeyError(f"{self.name}: key {self.keys} repeats, for example {repeated[0]}")
         self._move(path, written)
 
@@ -126,7 +131,10 @@ def sync_all(
             results.append((target.table, "skipped", None))
             continue
         try:
-            table.snapshot(datasets[target.source])
+            if target.mode == "merge":
+                table.merge(datasets[target.source], target.latest)
+            else:
+                table.snapshot(datasets[target.source])
             results.append((target.table, "success", None))
         except Exception as problem:  # one line per failed table in the summary
             results.append((target.table, "error", str(problem).splitlines()[0]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from innmetrics.operators.ranking import top_per_key
-from innmetrics.sources.serving import newest
+from innmetrics.session import folder_exists, list_folders, remove_folder
+from innmetrics.sources.serving import ServingTable, newest
 
 
 def stream_changes(
@@ -24,14 +26,23 @@ def stream_changes(
     """Appends the newest row per key of each batch to a change log.
 
     Rewriting the table per batch would cost its full size every few seconds, so batches
-    only append; ``current_rows`` resolves them on reading and a snapshot of its result
-    starts over. A batch owns one folder, so running it again after a failure replaces
-    its rows and adds none.
+    only append; ``current_rows`` resolves them on reading and ``fold`` moves them into the
+    table. A batch owns one folder, so running it again after a failure replaces its rows
+    and adds none. A fresh checkpoint counts its batches anew, in folders of its own.
     """
+    spark = changes.sparkSession
+    runs = f"{log}/_runs"
+    if not folder_exists(spark, checkpoint):
+        started = spark.range(1).select(
+            F.lit(checkpoint).alias("checkpoint"), F.lit(uuid.uuid4().hex).alias("run"), F.current_timestamp().alias("at")
+        )
+        started.coalesce(1).write.mode("append").parquet(runs)
+    own = spark.read.parquet(runs).where(F.col("checkpoint") == checkpoint).orderBy(F.desc("at"))
+    run = own.first().run
 
     def append(batch: DataFrame, batch_id: int) -> None:
         order = [F.col(c).desc() for c in latest]
-        top_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        top_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{log}/rows/{run}-{batch_id}")
 
     writer = changes.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if available_now:
@@ -45,5 +56,24 @@ def current_rows(
     spark: SparkSession, snapshot: DataFrame, log: str, keys: Sequence[str], latest: Sequence[str]
 ) -> DataFrame:
     """The snapshot with all logged changes applied."""
-    logged = spark.read.schema(snapshot.schema).parquet(log).select(*snapshot.columns)
-    return newest(snapshot, logged, keys, latest)
+    folders = list_folders(spark, f"{log}/rows")
+    return newest(snapshot, _logged(spark, snapshot, folders), keys, latest) if folders else snapshot
+
+
+def fold(table: ServingTable, log: str, latest: Sequence[str]) -> int:
+    """Moves the logged batches into the table and returns how many there were.
+
+    They are removed once the table holds them. If that fails halfway they are applied
+    again by the next reader, which changes nothing; batches logged meanwhile stay.
+    """
+    spark = table.spark
+    folders = list_folders(spark, f"{log}/rows")
+    if folders:
+        table.merge(_logged(spark, table.read(), folders), latest)
+    for folder in folders:
+        remove_folder(spark, folder)
+    return len(folders)
+
+
+def _logged(spark: SparkSession, snapshot: DataFrame, paths: list[str]) -> DataFrame:
+    return spark.read.schema(snapshot.schema).parquet(*paths).select(*snapshot.columns)

@@ -12,7 +12,7 @@ from innmetrics.sources import serving
 from innmetrics.sources.catalog import describe, list_tables
 from innmetrics.sources.serving import DuplicateKeyError, ServingTable, SyncTarget, sync_all
 from innmetrics.sources.tables import SCHEMAS
-from innmetrics.streaming.changes import current_rows, stream_changes
+from innmetrics.streaming.changes import current_rows, fold, stream_changes
 from innmetrics.streaming.ingest import file_stream, ingest_clickstream
 
 _SCHEMA = "k long, at long, v string"
@@ -166,6 +166,39 @@ def test_change_stream_over_several_batches(spark):
     assert run() == [(1, 6, "x"), (2, 9, "z"), (3, 2, "m")]
 
 
+def test_logged_changes_fold_into_the_table(spark, table):
+    root = work_folder(spark, "test")
+    table.snapshot(frame(spark, (1, 5, "a"), (2, 5, "b")))
+    log = f"{root}/log"
+    assert rows(current_rows(spark, table.read(), log, ["k"], ["at"])) == [(1, 5, "a"), (2, 5, "b")]
+    assert fold(table, log, ["at"]) == 0
+
+    def run(checkpoint, *data):
+        frame(spark, *data).coalesce(1).write.parquet(f"{root}/{checkpoint}-in/{data[0][1]}")
+        stream_changes(
+            file_stream(spark, f"{root}/{checkpoint}-in/*", _SCHEMA), log, f"{root}/{checkpoint}", ["k"], ["at"]
+        )
+
+    run("one", (1, 6, "x"), (3, 1, "n"))
+    run("two", (2, 7, "y"))  # its first batch doesn't replace the one of the other stream
+    expected = [(1, 6, "x"), (2, 7, "y"), (3, 1, "n")]
+    assert rows(current_rows(spark, table.read(), log, ["k"], ["at"])) == expected
+    assert fold(table, log, ["at"]) == 2
+    assert rows(table.read()) == rows(current_rows(spark, table.read(), log, ["k"], ["at"])) == expected
+    run("one", (1, 8, "z"))
+    assert fold(table, log, ["at"]) == 1
+    assert rows(table.read()) == [(1, 8, "z"), (2, 7, "y"), (3, 1, "n")]
+
+
+def test_sync_may_merge(spark):
+    root = work_folder(spark, "test")
+    schema = f"m{root.rsplit('-', 1)[-1]}"
+    target = [SyncTarget("items", "items", ("k",), "", mode="merge", latest=("at",))]
+    sync_all(spark, {"items": frame(spark, (1, 1, "a"), (2, 1, "b"))}, schema, root, target)
+    sync_all(spark, {"items": frame(spark, (1, 2, "c"), (2, 0, "old"))}, schema, root, target)
+    assert rows(spark.table(f"{schema}.items")) == [(1, 2, "c"), (2, 1, "b")]
+
+
 def test_ingest_is_incremental_and_equals_the_batch(market, spark):
     root = work_folder(spark, "test")
     drops = [
