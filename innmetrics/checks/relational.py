@@ -331,7 +331,7 @@ def bridge_membership(i: Inputs):
 )
 def join_subquery(i: Inputs):
     m = i.market
-    return property_conversion(m.tables, m.silver_clickstream, m.date_boundaries, i.config)
+    return property_conversion(m.tables, m.viewer_pairs, m.date_boundaries, i.config)
 
 
 @check(

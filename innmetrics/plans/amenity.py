@@ -9,7 +9,7 @@ from innmetrics.config import Config
 from innmetrics.functions.measures import safe_rate
 from innmetrics.operators.quality import Constraint
 from innmetrics.operators.ranking import top_per_key
-from innmetrics.plans.performance import booking_facts, property_bookings, property_traffic, viewer_pairs
+from innmetrics.plans.performance import booking_facts, property_bookings, property_traffic
 from innmetrics.plans.silver import listings, located_properties
 from innmetrics.sources.tables import MarketTables
 
@@ -23,11 +23,10 @@ _STAGES = {
 
 
 def property_conversion(
-    tables: MarketTables, silver_clicks: DataFrame, boundaries: DataFrame, config: Config
+    tables: MarketTables, pairs: DataFrame, boundaries: DataFrame, config: Config
 ) -> DataFrame:
     """Booking rates per unique viewer, for properties with enough viewers. Bookings of a
     property without a known host do not count, as they are not in the booking table."""
-    pairs = viewer_pairs(silver_clicks)
     stats = property_bookings(booking_facts(tables, pairs, boundaries, config.today())).join(
         listings(tables).select("property_id"), "property_id", "left_semi"
     )
@@ -47,7 +46,7 @@ def property_conversion(
 
 
 def amenity_lift(
-    tables: MarketTables, silver_clicks: DataFrame, boundaries: DataFrame, config: Config
+    tables: MarketTables, pairs: DataFrame, boundaries: DataFrame, config: Config
 ) -> DataFrame:
     """Mean booking rates of properties with and without each amenity.
 
@@ -56,7 +55,7 @@ def amenity_lift(
     and type total less those. Rates are decimals, so the subtraction is exact. Groups
     where no property or every property has the amenity are left out.
     """
-    rates = property_conversion(tables, silver_clicks, boundaries, config)
+    rates = property_conversion(tables, pairs, boundaries, config)
     bridge = tables.property_amenities.groupBy("property_id", "amenity_id").agg(
         F.count("*").cast("decimal(9,0)").alias("copies")
     )

@@ -117,14 +117,13 @@ def review_stats(reviews: DataFrame) -> DataFrame:
 
 
 def property_performance(
-    tables: MarketTables, silver_clicks: DataFrame, boundaries: DataFrame, config: Config
+    tables: MarketTables, pairs: DataFrame, boundaries: DataFrame, config: Config
 ) -> DataFrame:
     """Traffic, booking stages, payments, revenue and reviews per property with traffic.
 
-    Every fact is reduced to one row per property before it meets the others, and the
-    clickstream is shuffled once, for traffic and bookings alike.
+    Every fact is reduced to one row per property before it meets the others. ``pairs`` are
+    those of ``viewer_pairs``: the clickstream is shuffled once, for traffic and bookings.
     """
-    pairs = viewer_pairs(silver_clicks)
     facts = booking_facts(tables, pairs, boundaries, config.today())
 
     def count(name: str) -> Column:

@@ -47,15 +47,19 @@ class Marketplace:
     def city_investment(self) -> DataFrame:
         return segments.city_investment(self.city_funnel, self.silver_bookings_enriched)
 
+    @cached_property
+    def viewer_pairs(self) -> DataFrame:
+        return performance.viewer_pairs(self.silver_clickstream)
+
     @cached_property
     def property_performance(self) -> DataFrame:
         return performance.property_performance(
-            self.tables, self.silver_clickstream, self.date_boundaries, self.config
+            self.tables, self.viewer_pairs, self.date_boundaries, self.config
         )
 
     @cached_property
     def amenity_lift(self) -> DataFrame:
-        return amenity.amenity_lift(self.tables, self.silver_clickstream, self.date_boundaries, self.config)
+        return amenity.amenity_lift(self.tables, self.viewer_pairs, self.date_boundaries, self.config)
 
     @cached_property
     def amenity_city_top(self) -> DataFrame:
@@ -112,6 +116,10 @@ def refresh(
     written: dict[str, DataFrame] = {}
     violations: dict[str, dict[str, int]] = {}
     for name, rules in RULES.items():
+        if name == "property_performance":  # the one table that it and the amenities share
+            pairs = f"{root}/{version}/_viewer_pairs"
+            market.viewer_pairs.write.parquet(pairs)
+            vars(market)["viewer_pairs"] = spark.read.schema(market.viewer_pairs.schema).parquet(pairs)
         if name == "silver_clickstream" and streamed is not None:
             written[name] = vars(market)[name] = streamed
             continue
