@@ -44,7 +44,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = language.identify(docs, docs.where(~held_out(3, 1)))
+    found = language.identify(docs, ~held_out(3, 1))
     return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score", "bits_per_char", "rejected")
 
 

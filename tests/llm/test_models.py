@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 from helpers import ODD, frame
+from pyspark.sql import functions as F
 
 from innmetrics.llm import language, quality_classifier
 from innmetrics.llm.common import table
@@ -69,13 +70,14 @@ def test_languages_held_out(spark):
 
 
 def test_texts_without_letters(spark):
-    training = spark.createDataFrame([("en", "the cat sat on the mat"), ("fr", "le chat est sur la table"), (None, "x")], "lang STRING, text STRING")
-    made = {r.doc_id: r for r in language.identify(frame(spark, [*ODD, (20, "12 34 !!")]), training).collect()}
+    taught = [(50, "the cat sat on the mat"), (51, "le chat est sur la table")]
+    docs = frame(spark, [*ODD, (20, "12 34 !!"), *taught], {50: "en", 51: "fr", **{i: None for i, _ in ODD}, 20: None})
+    made = {r.doc_id: r for r in language.identify(docs, F.lit(True)).collect()}
     assert {made[i].lang_pred for i in (1, 2, 3, 20)} == {"und"}
-    assert made[4].lang_pred == "en" and made[7].lang_pred in ("en", "fr")
-    nothing = language.identify(frame(spark, ODD), training.limit(0))
-    assert {r.lang_pred for r in nothing.collect()} == {"und"} and nothing.count() == len(ODD)
-    assert language.identify(frame(spark, []), training).count() == 0
+    assert made[50].lang_pred == "en" and made[51].lang_pred == "fr" and made[7].lang_pred in ("en", "fr")
+    nothing = language.identify(docs, F.col("doc_id") < 0)
+    assert {r.lang_pred for r in nothing.collect()} == {"und"} and nothing.count() == len(ODD) + 3
+    assert language.identify(docs.limit(0), F.lit(True)).count() == 0
 
 
 def test_quality_held_out(spark):
