@@ -140,9 +140,9 @@ def browse_only_users(bookings: DataFrame, config: Config) -> DataFrame:
     conversion. Each booker brings its share of them, so their number need not be known
     before the plan runs."""
     bookers = dense_index(bookings.where("user_id IS NOT NULL"), "user_id", name="place")
-    count = bookings.agg(F.countDistinct("user_id").alias("n")).scalar()
+    count = _different(bookings, "user_id").alias("bookers")
     floor = browse_floor(bookings, config)
-    sized = bookers.select("place", count.alias("bookers"), floor.alias("floor")).withColumn(
+    sized = bookers.select("place", count, floor.alias("floor")).withColumn(
         "browsers", F.floor(F.col("bookers") / F.lit(config.target_conversion)) - F.col("bookers")
     )
     share = "sequence(place * browsers div bookers, (place + 1) * browsers div bookers - 1)"
@@ -151,10 +151,16 @@ def browse_only_users(bookings: DataFrame, config: Config) -> DataFrame:
     return numbered.select((F.col("floor") + F.col("number")).alias("user_id"))
 
 
+def _different(rows: DataFrame, column: str) -> Column:
+    """The number of different values as a scalar. Two COUNT(DISTINCT ...) would be merged
+    into one aggregation that copies every row."""
+    return rows.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count("*").alias("n")).scalar()
+
+
 def browse_only_events(bookings: DataFrame, config: Config) -> DataFrame:
     """One to six views per browse-only user, on properties that have bookings."""
     properties = dense_index(bookings.where("property_id IS NOT NULL"), "property_id", name="place")
-    choices = bookings.agg(F.countDistinct("property_id").alias("n")).scalar().alias("choices")
+    choices = _different(bookings, "property_id").alias("choices")
     users = browse_only_users(bookings, config)
     number = F.explode(F.sequence(F.lit(0).cast("bigint"), draw(13, "user_id") % 6))
     ids = ("user_id", "event_num")

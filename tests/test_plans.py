@@ -67,7 +67,7 @@ def test_building_runs_no_job(spark, name):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup(f"building-{name}", name)
     QUERIES[name](spark, SF_DIR)
-    assert tracker.getJobIdsForGroup(f"building-{name}") == ()
+    assert not tracker.getJobIdsForGroup(f"building-{name}")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
