@@ -10,6 +10,8 @@ import numpy as np
 
 WINDOW = 50
 RUN = 16
+#: Windows that are looked at together.
+BLOCK = 1 << 18
 
 
 def run_hashes(raw: np.ndarray) -> np.ndarray:
@@ -43,14 +45,27 @@ def find_anchors(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """text, hash, place, low, high of each anchor of some texts laid end to end.
 
     ``low`` to ``high`` are the windows (by their first byte) that have the anchor; texts
-    shorter than a window have none, and no window crosses an end.
+    shorter than a window have none, and no window crosses an end. Works in blocks of
+    windows, however long the texts; an anchor whose windows lie in two blocks comes twice,
+    with a part of them each time.
     """
+    parts = []
+    for first in range(0, max(1, len(raw)), BLOCK):
+        block = raw[first : first + BLOCK + WINDOW - 1]
+        a, b = np.searchsorted(ends, first, side="right"), np.searchsorted(starts, first + len(block))
+        found = _block_anchors(block, np.maximum(starts[a:b] - first, 0), ends[a:b] - first)
+        text, hashes, *places = found
+        parts.append((text + a, hashes, *(p + first for p in places)))
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _block_anchors(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     none = np.zeros(0, np.int64)
     if len(raw) < WINDOW:
         return none, none.astype(np.uint64), none, none, none
     hashes = run_hashes(raw)
     places = np.arange(len(raw) - WINDOW + 1) + first_smallest(hashes, WINDOW - RUN + 1)
-    text = np.repeat(np.arange(len(starts)), ends - starts)[: len(places)]
+    text = np.repeat(np.arange(len(starts)), np.minimum(ends, len(raw)) - starts)[: len(places)]
     inside = np.flatnonzero(np.arange(len(places)) + WINDOW <= ends[text])
     if not len(inside):
         return none, none.astype(np.uint64), none, none, none

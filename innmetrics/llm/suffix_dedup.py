@@ -57,10 +57,21 @@ def laid_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raws), np.uint8), ends - sizes, ends
 
 
-def anchor_counts(texts: DataFrame) -> DataFrame:
+def taken(copied: np.ndarray, digests: list[int | None]) -> list[int]:
+    """Places of the rows to work on: those of null ``digest``, and those of which the
+    filter says that no other row has the text. The steps do this themselves, so that a
+    task needs one Python worker."""
+    hashes = np.array([0 if d is None else d for d in digests], np.int64)
+    hit = passes(copied, hashes)
+    return [i for i, d in enumerate(digests) if d is None or not hit[i]]
+
+
+def anchor_counts(texts: DataFrame, copied: np.ndarray) -> DataFrame:
     """hash, n_texts, n: of how many texts and how often, added up per step."""
+    sent = texts.sparkSession.sparkContext.broadcast(copied)
 
-    def step(texts):
+    def step(texts, digests):
+        texts = [texts[i] for i in taken(sent.value, digests)]
         raw, starts, ends = laid_out(texts)
         text, hashes, *_ = find_anchors(raw, starts, ends)
         order = np.lexsort((text, hashes))
@@ -72,18 +83,22 @@ def anchor_counts(texts: DataFrame) -> DataFrame:
         n_texts = np.add.reduceat(other.astype(np.int64), first) if len(first) else n
         return hashes[first].view(np.int64), n_texts, n
 
-    counted = arrow_pass(texts, ["text"], "hash BIGINT, n_texts BIGINT, n BIGINT", step)
+    counted = arrow_pass(texts, ["text", "digest"], "hash BIGINT, n_texts BIGINT, n BIGINT", step, 512)
     return counted.groupBy("hash").agg(F.sum("n_texts").alias("n_texts"), F.sum("n").alias("n"))
 
 
-def suffix_tuples(texts: DataFrame, repeated: np.ndarray, hot: np.ndarray | None) -> DataFrame:
+def suffix_tuples(
+    texts: DataFrame, copied: np.ndarray, repeated: np.ndarray, hot: np.ndarray | None
+) -> DataFrame:
     """hash, data of the tuples of repeated anchors. Those of hot anchors come with a null
     hash and one row per window, whose ``data`` is the window, then document, text, place."""
     spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast((repeated, hot))
+    sent = spark.sparkContext.broadcast((copied, repeated, hot))
 
-    def step(ids, numbers, texts):
-        flags, hot_flags = sent.value
+    def step(ids, numbers, texts, digests):
+        copied_flags, flags, hot_flags = sent.value
+        chosen = taken(copied_flags, digests)
+        ids, numbers, texts = ([column[i] for i in chosen] for column in (ids, numbers, texts))
         raw, starts, ends = laid_out(texts)
         text, hashes, places, low, high = find_anchors(raw, starts, ends)
         keep = passes(flags, hashes)
@@ -110,7 +125,7 @@ def suffix_tuples(texts: DataFrame, repeated: np.ndarray, hot: np.ndarray | None
                 windows.append(raw[w : w + WINDOW].tobytes() + tail + np.int64(w - starts[text[t]]).tobytes())
         return [*hashes[~split].view(np.int64).tolist(), *([None] * len(windows))], rows + windows
 
-    return arrow_pass(texts, ["doc_id", "number", "text"], "hash BIGINT, data BINARY", step, 512)
+    return arrow_pass(texts, ["doc_id", "number", "text", "digest"], "hash BIGINT, data BINARY", step, 128)
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -273,34 +288,35 @@ def remove_repeats(docs: DataFrame, hot_tuples: int = HOT_TUPLES) -> DataFrame:
         .select("digest", "first_id", "times"),
         "copied-texts",
     )
-    spark = docs.sparkSession
-    copied = spark.sparkContext.broadcast(
-        bit_filter(copies.select(F.xxhash64("digest").alias("h")), "h", COPY_FILTER_BITS)
+    flags = bit_filter(copies.select(F.xxhash64("digest").alias("h")), "h", COPY_FILTER_BITS)
+    copied = docs.sparkSession.sparkContext.broadcast(flags)
+    single = named.select(
+        "doc_id", "text", F.lit(1).cast("bigint").alias("times"), F.xxhash64(F.md5("text")).alias("digest")
     )
 
-    @F.pandas_udf("boolean")
-    def may_be_copied(hashes):
-        return hashes.to_frame("h").assign(hit=passes(copied.value, hashes.to_numpy()))["hit"]
+    def likely(ids, texts, digests):
+        own = set(taken(copied.value, digests))
+        rest = [i for i in range(len(ids)) if i not in own]
+        return [ids[i] for i in rest], [texts[i] for i in rest]
 
-    marked = named.withColumn("digest", F.md5("text"))
-    marked = marked.withColumn("maybe", may_be_copied(F.xxhash64("digest")))
     # what the filter hits: copied texts, of which the first is taken, and a few single ones
     firsts = written(
-        marked.where("maybe")
+        arrow_pass(single, ["doc_id", "text", "digest"], "doc_id BIGINT, text STRING", likely)
+        .withColumn("digest", F.md5("text"))
         .join(copies, "digest", "left")
         .where("first_id IS NULL OR doc_id = first_id")
         .groupBy("doc_id", "digest")
         .agg(F.first("text").alias("text"), F.max(F.coalesce("times", F.lit(1))).alias("times")),
         "first-texts",
     )
-    single = marked.where("NOT maybe").select("doc_id", "text", F.lit(1).cast("bigint").alias("times"))
-    texts = single.unionByName(firsts.drop("digest")).withColumn("number", F.xxhash64("doc_id", "text"))
+    named_firsts = firsts.select("doc_id", "text", "times", F.lit(None).cast("bigint").alias("digest"))
+    texts = single.unionByName(named_firsts).withColumn("number", F.xxhash64("doc_id", "text"))
 
-    counts = written(anchor_counts(texts).where("n_texts > 1"), "repeated-anchors")
+    counts = written(anchor_counts(texts, flags).where("n_texts > 1"), "repeated-anchors")
     repeated = bit_filter(counts, "hash", FILTER_BITS)
     many = counts.where(F.col("n") > hot_tuples)
     hot = None if many.isEmpty() else bit_filter(many, "hash", FILTER_BITS)
-    tuples = suffix_tuples(texts, repeated, hot)
+    tuples = suffix_tuples(texts, flags, repeated, hot)
     if hot is None:
         runs = sorted_runs(tuples)
     else:
@@ -312,9 +328,10 @@ def remove_repeats(docs: DataFrame, hot_tuples: int = HOT_TUPLES) -> DataFrame:
         .agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
     )
 
-    def finish(ids, texts, times, lows, highs):
+    def finish(ids, texts, times, digests, lows, highs):
         made = []
-        for doc_id, text, n, low, high in zip(ids, texts, times, lows, highs):
+        for i in taken(copied.value, digests):
+            doc_id, text, n, low, high = ids[i], texts[i], times[i], lows[i], highs[i]
             raw = text.encode()
             removed, spans, kept = kept_bytes(raw, low, high) if low else (0, 0, raw)
             made += [(doc_id, len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept)] * n
@@ -322,7 +339,7 @@ def remove_repeats(docs: DataFrame, hot_tuples: int = HOT_TUPLES) -> DataFrame:
 
     columns = "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING, kept BINARY"
     first_rows = arrow_pass(
-        texts.join(of_text, "number", "left"), ["doc_id", "text", "times", "lows", "highs"], columns, finish, 256
+        texts.join(of_text, "number", "left"), ["doc_id", "text", "times", "digest", "lows", "highs"], columns, finish, 256
     )
     whole = F.col("n_bytes") >= WINDOW
     copy_rows = (
