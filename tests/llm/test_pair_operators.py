@@ -147,3 +147,42 @@ def test_leaks_are_found_and_others_left(spark):
     assert found == {(100 + i, i) for i in range(10)} | {(200, 11)} | {(300 + i, 5) for i in range(30)}
     assert decontaminate.contaminated(frame(spark, []), benchmark).count() == 0
     assert decontaminate.contaminated(frame(spark, docs), benchmark.limit(0)).count() == 0
+
+
+def brute_groups(docs, size=5, similarity=0.8):
+    """group of each doc_id by comparing every two texts."""
+    sets = [(i, set(zip(*[t.lower().split()[k:] for k in range(size)]))) for i, t in docs]
+    parent = {i: i for i, _ in docs}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for n, (i, x) in enumerate(sets):
+        for j, y in sets[:n]:
+            if len(x & y) >= similarity * len(x | y):
+                low, high = sorted((root(i), root(j)))
+                parent[high] = low
+    return {i: root(i) for i in parent}
+
+
+def grouped(spark, docs):
+    return {r.doc_id: r.group_id for r in simhash.verified_duplicates(frame(spark, docs)).collect()}
+
+
+def test_verified_duplicates_lose_no_pair(spark):
+    """Every pair at 0.8 or above is linked, however far its fingerprints are apart."""
+    rnd = random.Random(21)
+    docs = []
+    for _ in range(150):
+        words = [f"w{rnd.randrange(3000)}" for _ in range(rnd.randint(25, 130))]
+        docs.append((len(docs), " ".join(words)))
+        for _ in range(rnd.randint(1, 2)):
+            copy = list(words)
+            for _ in range(max(1, round(len(words) / 50))):
+                copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(10**6)}"
+            docs.append((len(docs), " ".join(copy)))
+    expected = brute_groups(docs)
+    assert sum(i != g for i, g in expected.items()) > 100
+    assert grouped(spark, docs) == expected
