@@ -186,3 +186,18 @@ def test_verified_duplicates_lose_no_pair(spark):
     expected = brute_groups(docs)
     assert sum(i != g for i, g in expected.items()) > 100
     assert grouped(spark, docs) == expected
+
+
+def test_texts_over_one_vocabulary_are_told_apart(spark):
+    """Texts with the same different words, and so one fingerprint over them, are each
+    compared with their own near copy, not with the first alone."""
+    rnd = random.Random(22)
+    vocabulary = [f"w{i}" for i in range(100)]
+    texts = [vocabulary + [rnd.choice(vocabulary) for _ in range(900)] for _ in range(20)]
+    docs = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    for i, words in enumerate(texts):
+        copy = list(words)
+        for at in rnd.sample(range(100, 999), 4):
+            copy[at], copy[at + 1] = copy[at + 1], copy[at]
+        docs.append((100 + i, " ".join(copy)))
+    assert grouped(spark, docs) == {i: i % 100 for i, _ in docs}
