@@ -1,9 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Runs of SEED_WORDS words of the test items are looked for in every text. Of each SPAN
-neighbouring runs that an item and the corpus share, the rarest is a seed, so any stretch
-of SEED_WORDS + SPAN - 1 equal words leaves one, however often its runs occur. Where seeds
-of an item meet a text, the item is aligned with the words around.
+Runs of SEED_WORDS words of the test items are looked for in every text. Each run that an
+item and a text share is a seed, so any stretch of SEED_WORDS equal words leaves one,
+whatever other texts hold. Where seeds of an item meet a text, they are merged by where
+the item would start, and the item is aligned with the words around.
 """
 
 from __future__ import annotations
@@ -11,14 +11,13 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innmetrics.llm.common import arrow_pass, bit_filter, passes, written
 from innmetrics.llm.quality_rules import letter_words
 
 SEED_WORDS = 4
-SPAN = 2
 #: Bits of the filter that is sent to all tasks: 2 MB whatever the number of items.
 FILTER_BITS = 1 << 24
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -84,19 +83,6 @@ def text_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def seeds(runs: DataFrame, found: DataFrame) -> DataFrame:
-    """item_id, at, run, n_words: of each SPAN neighbouring runs the one that is rarest in
-    the corpus, of those it holds at all."""
-    counts = found.groupBy("run").agg(F.count("*").alias("n"))
-    near = Window.partitionBy("item_id").orderBy("at").rangeBetween(0, SPAN - 1)
-    return (
-        runs.join(counts, "run")
-        .withColumn("best", F.min(F.struct("n", "run", "at", "n_words")).over(near))
-        .select("item_id", "best.at", "best.run", "best.n_words")
-        .distinct()
-    )
-
-
 def smith_waterman(texts: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
     """Best local alignment score of each item with its text; words are numbers.
 
@@ -133,7 +119,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_similarity: float =
     runs = written(item_runs(benchmark), "item-runs")
     found = written(text_runs(docs, runs), "text-runs")
     places = (
-        found.join(seeds(runs, found), "run")
+        found.join(runs, "run")
         .select("doc_id", "item_id", "n_words", (F.col("pos") - F.col("at")).alias("start"))
         .groupBy("doc_id", "item_id", "n_words", F.floor(F.col("start") / F.col("n_words")).alias("part"))
         .agg(F.min("start").alias("low"), F.max("start").alias("high"))

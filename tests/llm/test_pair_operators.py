@@ -201,3 +201,13 @@ def test_texts_over_one_vocabulary_are_told_apart(spark):
             copy[at], copy[at + 1] = copy[at + 1], copy[at]
         docs.append((100 + i, " ".join(copy)))
     assert grouped(spark, docs) == {i: i % 100 for i, _ in docs}
+
+
+def test_leaks_are_found_beside_exact_copies(spark):
+    """Exact copies of an item don't hide an edited one whose equal runs stand alone."""
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
+    changed = ["changed" if i % 5 == 4 else w for i, w in enumerate(words)]
+    docs = [(i, " ".join(words)) for i in range(4)] + [(10, " ".join(changed))]
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id BIGINT, text STRING")
+    found = {r.doc_id for r in decontaminate.contaminated(frame(spark, docs), benchmark).collect()}
+    assert found == {0, 1, 2, 3, 10}
