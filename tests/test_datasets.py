@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import at, booking, event, payment, rows
+from market_rows import at, booking, event, payment, rows
 
 from innmetrics import Config
 from innmetrics.plans import performance, segments

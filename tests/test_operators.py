@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from market_rows import rows
 from pyspark.sql import functions as F
 
 from innmetrics.config import Config

@@ -1,7 +1,7 @@
 """Snapshots, merges, change streams and incremental ingest."""
 
 import pytest
-from conftest import booking, event, rows
+from market_rows import booking, event, rows
 from pyspark.sql import functions as F
 
 from innmetrics.config import Config
