@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innmetrics.llm import bpe, decontaminate, html, language, licenses, quality_classifier, quality_rules, secrets, simhash, suffix_dedup
+from innmetrics.llm import bpe, decontaminate, html, language, licenses, merkle, quality_classifier, quality_rules, secrets, simhash, suffix_dedup
 from innmetrics.llm.common import table
 
 
@@ -72,6 +72,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of documents whose id has an even CRC the line ends are taken out before the proof."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    return merkle.audit(table(spark, sf_dir, "documents"), F.coalesce(tampered, "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scans,
         op9_suffix_dedup,
         op10_quality_rules,
+        op13_merkle_manifest,
     )
 }
 
