@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from innmetrics.session import work_folder
@@ -42,6 +42,23 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, *order: str | Column) -> DataFrame:
+    """Adds rank, from 0 in the given order, and total. Ranges of the order are numbered
+    apart; only their sizes, one per shuffle partition, meet in one task."""
+    dealt = written(rows.repartitionByRange(*order).select("*", F.spark_partition_id().alias("_part")), "ranges")
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select(
+        "_part",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"),
+        F.sum("_n").over(Window.partitionBy()).alias("total"),
+    )
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn("_place", place).join(shifts, "_part").select(
+        *rows.columns, (F.col("_shift") + F.col("_place") - 1).alias("rank"), "total"
+    )
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     fields = [part.split() for part in ddl.split(", ")]
     return pa.schema([(name, _ARROW[kind]) for name, kind in fields])

@@ -18,7 +18,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from innmetrics.llm.common import arrow_pass, written
+from innmetrics.llm.common import arrow_pass, numbered, written
 
 #: Nodes that are hashed together.
 ARITY = 3
@@ -146,22 +146,6 @@ def _places_of_repeated_ids(rows: DataFrame, words: DataFrame) -> DataFrame:
     return dealt.withColumn("copy", F.explode(F.expr(numbers))).withColumn("rank", F.col("first") + F.col("copy"))
 
 
-def numbered(rows: DataFrame, order: str) -> DataFrame:
-    """Adds rank, from 0 in the order of one column, and total. Ranges of the order are
-    numbered apart; only their sizes, one per shuffle partition, meet in one task."""
-    dealt = written(rows.repartitionByRange(order).select("*", F.spark_partition_id().alias("part")), "merkle-ranges")
-    sizes = dealt.groupBy("part").agg(F.count("*").alias("n"))
-    shifts = sizes.select(
-        "part",
-        F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(*_BEFORE)), F.lit(0)).alias("shift"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
-    )
-    place = F.row_number().over(Window.partitionBy("part").orderBy(order))
-    return dealt.withColumn("place", place).join(shifts, "part").select(
-        *rows.columns, (F.col("shift") + F.col("place") - 1).alias("rank"), "total"
-    )
-
-
 def slot_arrays(nodes: DataFrame, carried: tuple[str, ...], depth: int) -> DataFrame:
     """tree, total, block, slots, digests and the carried columns as arrays: at most
     ARITY**depth nodes (tree, rank, total, digest) in one row."""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innmetrics.llm import bpe, decontaminate, html, language, licenses, merkle, quality_classifier, quality_rules, secrets, simhash, suffix_dedup
+from innmetrics.llm import (
+    alignment, bpe, decontaminate, html, language, licenses, merkle, mixing, quality_classifier, quality_rules, secrets,
+    simhash, suffix_dedup,
+)
 from innmetrics.llm.common import table
 
 
@@ -72,6 +75,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of documents whose id has an even CRC the line ends are taken out before the proof."""
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
@@ -91,8 +103,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scans,
         op9_suffix_dedup,
         op10_quality_rules,
+        op11_source_mixing,
+        op12_tokenizer_alignment,
         op13_merkle_manifest,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_license_scans": licenses.duckdb_sql()}
+ORACLES: dict[str, str] = {"op8_license_scans": licenses.duckdb_sql(), "op11_source_mixing": mixing.duckdb_sql()}
