@@ -40,7 +40,12 @@ class Inputs:
 
     @cached_property
     def synthetic(self) -> DataFrame:
-        return synthetic_clickstream(self.tables.bookings, self.config)
+        """Generated traffic, written once as the job that generates it does: the checks
+        read it several times."""
+        made = synthetic_clickstream(self.tables.bookings, self.config)
+        path = self.folder("traffic")
+        made.write.parquet(path)
+        return self.spark.read.schema(made.schema).parquet(path)
 
     def folder(self, purpose: str) -> str:
         return work_folder(self.spark, purpose)

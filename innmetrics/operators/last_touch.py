@@ -2,64 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innmetrics.operators.skew import LIGHT_ROWS, heavy_keys, mark_heavy
-
-#: Minutes of one time slot of a heavy key.
-SLOT_MINUTES = 1
+from innmetrics.operators.slots import HOUR_MICROS, micros, slot
 
 _THROUGH = (Window.unboundedPreceding, Window.currentRow)
 
 
 def last_touch(
-    moments: DataFrame,
-    touches: DataFrame,
-    key: str,
-    moment: str,
-    at: str,
-    value: str,
-    hours: int = 24,
-    load: DataFrame | None = None,
-    light_rows: int = LIGHT_ROWS,
+    moments: DataFrame, touches: DataFrame, key: str, moment: str, at: str, value: str, hours: int = 24
 ) -> DataFrame:
     """Moments with the latest touch of the same key in [moment - hours, moment].
 
     Adds ``value`` and ``at`` of that touch; moments without one are left out. Of touches
     at the same time the smallest ``value`` wins.
 
-    No pair of moment and touch is formed: the latest touch is carried forward over the
-    stacked rows of a key, which takes one shuffle. Heavy keys are cut into time slots,
-    each with its own pass, see ``_earlier_slots``.
-
-    ``load`` may give rows whose keys tell how the work is spread, where that is cheaper to
-    read than the moments and touches themselves.
+    Time is cut into slots as long as the window, so the touch lies in the moment's slot
+    or is the closing one of the slot before. Within a slot the latest touch is carried
+    forward over the stacked rows of a key; closing touches, one row per key and slot, are
+    joined by slot. No pair of moment and touch is formed, and a key with many touches is
+    spread by its slots.
     """
+    length = hours * HOUR_MICROS
+    lane = [key, "_slot"]
     steps = touches.where(F.col(key).isNotNull() & F.col(value).isNotNull() & F.col(at).isNotNull()).select(
-        key, F.col(at).alias("_at"), F.col(value).alias("_value")
+        key, slot(micros(at), length).alias("_slot"), F.col(at).alias("_at"), F.col(value).alias("_value")
     )
     asks = moments.where(F.col(key).isNotNull() & F.col(moment).isNotNull()).select(
-        key, F.col(moment).alias("_at"), F.struct(*moments.columns).alias("_moment")
+        key,
+        slot(micros(moment), length).alias("_slot"),
+        F.col(moment).alias("_at"),
+        F.struct(*moments.columns).alias("_moment"),
     )
     stacked = steps.unionByName(asks, allowMissingColumns=True)
-    load = stacked if load is None else load.where(F.col(key).isNotNull())
-    slot = F.expr(f"unix_micros(cast(_at AS timestamp)) div {SLOT_MINUTES * 60_000_000}")
-    marked = mark_heavy(stacked, heavy_keys(load, [key], light_rows), [key], slot)
-    order = Window.partitionBy(key, "_slot").orderBy(
-        F.col("_at"), F.col("_moment").isNotNull(), F.col("_value").desc()
-    )
+    order = Window.partitionBy(*lane).orderBy(F.col("_at"), F.col("_moment").isNotNull(), F.col("_value").desc())
     lately = order.rowsBetween(*_THROUGH)
     step_at = F.when(F.col("_moment").isNull(), F.col("_at"))
-    here = marked.select(
-        key,
-        "_slot",
+    here = stacked.select(
+        *lane,
         "_at",
         "_moment",
         F.last("_value", ignorenulls=True).over(lately).alias("_touch_value"),
         F.last(step_at, ignorenulls=True).over(lately).alias("_touch_at"),
     ).where("_moment IS NOT NULL")
-    found = here.join(_earlier_slots(marked, key, hours), [key, "_slot"], "left").select(
+    latest = F.min(F.struct((-micros("_at")).alias("back"), "_value", "_at")).alias("_before")
+    closing = steps.groupBy(*lane).agg(latest).select(key, (F.col("_slot") + 1).alias("_slot"), "_before")
+    found = here.join(closing, lane, "left").select(
         "_at",
         "_moment",
         F.coalesce("_touch_value", F.col("_before._value")).alias("_touch_value"),
@@ -68,31 +57,3 @@ def last_touch(
     return found.where(F.col("_touch_at") >= F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")).select(
         "_moment.*", F.col("_touch_value").alias(value), F.col("_touch_at").alias(at)
     )
-
-
-def _earlier_slots(marked: DataFrame, key: str, hours: int) -> DataFrame:
-    """For each slot of a heavy key with moments the closing touch (``_before``) of the
-    latest slot before it: the last in time, of those at one time the smallest value.
-
-    They are looked up per key and day; each is offered to its own day and the days it
-    can reach.
-    """
-    cut = marked.where("_heavy IS NOT NULL")
-    smallest = cut.where("_moment IS NULL").groupBy(key, "_slot", "_at").agg(F.min("_value").alias("_value"))
-    closing = smallest.groupBy(key, "_slot").agg(F.max_by(F.struct("_at", "_value"), "_at").alias("_closing"))
-    first_day = _day()
-    offered = closing.select(
-        "*", F.explode(F.sequence(first_day, first_day + -(-hours // 24))).alias("_day")
-    )
-    wanted = cut.where("_moment IS NOT NULL").select(key, "_slot").distinct().withColumn("_day", _day())
-    day = Window.partitionBy(key, "_day").orderBy("_slot", F.col("_closing").isNotNull()).rowsBetween(*_THROUGH)
-    return (
-        offered.unionByName(wanted, allowMissingColumns=True)
-        .withColumn("_before", F.last("_closing", ignorenulls=True).over(day))
-        .where("_closing IS NULL AND _before IS NOT NULL")
-        .select(key, "_slot", "_before")
-    )
-
-
-def _day() -> Column:
-    return F.expr(f"_slot * {SLOT_MINUTES} div 1440")

@@ -92,7 +92,6 @@ def attributed_bookings(
         at="timestamp",
         value="device",
         hours=config.attribution_hours,
-        load=silver_clicks.select("user_id").unionByName(tables.bookings.select("user_id")),
     )
     return top_per_key(
         touched,

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from innmetrics.config import Config
 from innmetrics.functions.measures import HUNDRED, percent_share
 from innmetrics.operators.distinct import count_distinct
-from innmetrics.operators.prefix import count_before
+from innmetrics.operators.prefix import count_before, count_within
+from innmetrics.operators.slots import HOUR_MICROS
 from innmetrics.plans.synth import browse_floor
 
 _PAIR = ["user_id", "property_id"]
@@ -39,23 +40,29 @@ def _through(moment: str = "created_at") -> Column:
 
 
 def event_counts(bookings: DataFrame, clickstream: DataFrame, days: int = 30) -> DataFrame:
-    """Events of the same user and property in the days before each booking."""
+    """Per booking the events of the same user and property in the days before it
+    (``event_count``) and after it (``later_events``), from one table of running counts."""
     probes = _probes(
         bookings,
         ("until", _through()),
         ("from", F.unix_micros(F.col("created_at") - F.expr(f"INTERVAL {days} DAYS"))),
     )
-    events = _timed_events(clickstream).where("event IS NOT NULL")
-    counted = count_before(probes, events, _PAIR, bound="bound", at="at")
-    sign = F.when(F.col("bound_name") == "until", 1).otherwise(-1)
+    counts = {"named": F.when(F.col("event").isNotNull(), 1).otherwise(0), "any_event": F.lit(1)}
+    counted = count_before(probes, _timed_events(clickstream), _PAIR, bound="bound", at="at", counts=counts)
+    until = F.col("bound_name") == "until"
     return counted.groupBy("booking_id", *_PAIR, "created_at").agg(
-        F.sum(sign * F.col("events_before")).alias("event_count")
+        F.sum(F.when(until, F.col("named")).otherwise(-F.col("named"))).alias("event_count"),
+        F.sum(F.when(until, F.col("any_event_ever") - F.col("any_event"))).alias("later_events"),
     )
 
 
 def events_per_booking(bookings: DataFrame, clickstream: DataFrame) -> DataFrame:
+    return summary_of_counts(event_counts(bookings, clickstream))
+
+
+def summary_of_counts(counted: DataFrame) -> DataFrame:
     events = F.col("event_count")
-    return event_counts(bookings, clickstream).agg(
+    return counted.agg(
         F.count("*").alias("total_bookings"),
         F.round(F.avg(events), 2).alias("avg_events_per_booking"),
         F.min(events).alias("min_events"),
@@ -94,40 +101,31 @@ def temporal_distribution(bookings: DataFrame, clickstream: DataFrame) -> DataFr
         .groupBy("place", "time_window")
         .agg(F.sum("events").alias("event_count"), F.count("booking_id").alias("booking_count"))
     )
-    total = buckets.agg(F.sum("event_count").alias("total")).scalar()
+    line = F.struct("place", "time_window", "event_count", "booking_count")
+    report = buckets.agg(F.collect_list(line).alias("lines"), F.sum("event_count").alias("total"))  # five lines at most
     return (
-        buckets.withColumn("percentage", percent_share(F.col("event_count"), total)).orderBy("place").drop("place")
+        report.select("total", F.inline("lines"))
+        .withColumn("percentage", percent_share(F.col("event_count"), F.col("total")))
+        .orderBy("place")
+        .drop("place", "total")
     )
 
 
 def invalid_events(bookings: DataFrame, clickstream: DataFrame) -> DataFrame:
     """Pairs of a booking and a later event of the same user and property."""
-    probes = _probes(
-        bookings.where("created_at IS NOT NULL"),
-        ("until", _through()),
-        ("ever", F.lit(2**62).cast("bigint")),
-    )
+    probes = _probes(bookings, ("until", _through()))
     counted = count_before(probes, _timed_events(clickstream), _PAIR, bound="bound", at="at")
-    sign = F.when(F.col("bound_name") == "ever", 1).otherwise(-1)
-    return counted.agg(F.coalesce(F.sum(sign * F.col("events_before")), F.lit(0)).alias("invalid_events"))
+    later = F.col("events_before_ever") - F.col("events_before")
+    return counted.agg(F.coalesce(F.sum(later), F.lit(0)).alias("invalid_events"))
 
 
 def touches_in_window(bookings: DataFrame, touches: DataFrame, hours: int = 24) -> DataFrame:
     """Touches of the booking's user in the hours before it, both ends included, for
     bookings that have any."""
-    parts = F.array(
-        F.struct(F.lit(1).alias("sign"), _through().alias("bound")),
-        F.struct(
-            F.lit(-1).alias("sign"),
-            F.unix_micros(F.col("created_at") - F.expr(f"INTERVAL {hours} HOURS")).alias("bound"),
-        ),
-    )
-    probes = bookings.select("booking_id", "user_id", F.inline(parts))
+    probes = bookings.select("booking_id", "user_id", F.unix_micros("created_at").alias("moment"))
     events = touches.select("user_id", F.unix_micros("timestamp").alias("at"))
-    counted = count_before(probes, events, ["user_id"], bound="bound", at="at")
-    signed = F.sum(F.col("sign") * F.col("events_before"))
-    per_booking = counted.groupBy("booking_id", "user_id").agg(signed.alias("touches"))
-    return per_booking.where("touches > 0").select("booking_id", "touches")
+    counted = count_within(probes, events, ["user_id"], "moment", "at", hours * HOUR_MICROS, ["booking_id", "user_id"])
+    return counted.where("events > 0").select("booking_id", F.col("events").alias("touches"))
 
 
 def timestamp_range_compare(clickstream: DataFrame, bookings: DataFrame) -> DataFrame:
@@ -235,18 +233,23 @@ def validation_verdicts(clickstream: DataFrame, bookings: DataFrame, config: Con
     share_of_views = clickstream.agg(
         F.round(F.try_divide(F.count_if(F.col("event") == "view") * F.lit(HUNDRED), F.count("*")), 2).alias("m")
     ).select(F.lit("all_events_are_views"), F.col("m") == 100, F.col("m"))
-    per_booking = events_per_booking(bookings, clickstream).select(
+    events = F.col("event_count")
+    per_booking = event_counts(bookings, clickstream).agg(
+        F.count_if(events == 0).alias("without"),
+        F.min(events).alias("least"),
+        F.max(events).alias("most"),
+        F.coalesce(F.sum("later_events"), F.lit(0)).alias("later"),
+    )
+    per_booking = per_booking.select(
         F.inline(
             F.array(
-                _verdict("all_bookings_have_events", F.col("bookings_without_events") == 0, "bookings_without_events"),
-                _verdict("at_least_5_events", F.col("min_events") >= 5, "min_events"),
-                _verdict("at_most_20_events", F.col("max_events") <= 20, "max_events"),
+                _verdict("all_bookings_have_events", F.col("without") == 0, "without"),
+                _verdict("at_least_5_events", F.col("least") >= 5, "least"),
+                _verdict("at_most_20_events", F.col("most") <= 20, "most"),
+                _verdict("no_events_after_booking", F.col("later") == 0, "later"),
             )
         )
     )
-    after = invalid_events(bookings, clickstream).select(
-        F.lit("no_events_after_booking"), F.col("invalid_events") == 0, F.col("invalid_events")
-    )
     rate = user_segmentation(clickstream, bookings).select(
         F.lit("conversion_42_to_46"), F.col("conversion_rate_pct").between(42, 46), F.col("conversion_rate_pct")
     )
@@ -258,7 +261,7 @@ def validation_verdicts(clickstream: DataFrame, bookings: DataFrame, config: Con
     columns = ("check", "passed", "measured")
     parts = [
         part.toDF(*columns).select("check", "passed", F.col("measured").cast("double").alias("measured"))
-        for part in (share_of_views, per_booking, after, rate, browse)
+        for part in (share_of_views, per_booking, rate, browse)
     ]
     verdicts = parts[0]
     for part in parts[1:]:
