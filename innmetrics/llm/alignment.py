@@ -33,9 +33,9 @@ from innmetrics.llm.common import arrow_pass, arrow_schema, written
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: Units that a task remembers, and the bytes of their groups as text.
-CACHE_UNITS, CACHE_BYTES = 400_000, 64 << 20
+CACHE_UNITS, CACHE_BYTES = 150_000, 16 << 20
 
 #: A space that can't be cut off what is before it.
 _TIED = re.compile(r"\s ")
