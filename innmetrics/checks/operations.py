@@ -76,7 +76,7 @@ def _user_table(i: Inputs, purpose: str) -> tuple[serving.ServingTable, DataFram
     root = i.folder(purpose)
     schema = _schema(purpose, root)
     serving.create_schema(i.spark, schema, root)
-    table = serving.ServingTable(i.spark, f"{schema}.latest_event", ("user_id",), root)
+    table = serving.ServingTable(i.spark, f"{schema}.latest_event", ("user_id",), root, buckets=8)
     events = i.raw("events")
     before = F.col("ts") < F.lit(_SPLIT)
     table.snapshot(top_per_key(events.where(before), ["user_id"], [F.col(c).desc() for c in _LATEST]))
@@ -102,7 +102,7 @@ def stream_upsert(i: Inputs):
     source = file_stream(i.spark, f"{i.sf_dir.rstrip('/')}/event*.parquet", testdata.RAW_SCHEMAS["events"])
     log = f"{table.root}/log"
     stream_changes(source.where(F.col("ts") >= F.lit(_SPLIT)), log, f"{table.root}/checkpoint", table.keys, _LATEST)
-    return current_rows(i.spark, table.read(), log, table.keys, _LATEST)
+    return current_rows(table, log, _LATEST)
 
 
 @check("dedup_latest", "SELECT * FROM user_latest", doubles="value")
@@ -141,7 +141,7 @@ def table_crud(i: Inputs):
     root = i.folder("crud")
     schema = _schema("crud", root)
     serving.create_schema(i.spark, schema, root)
-    table = serving.ServingTable(i.spark, f"{schema}.customers", ("c_custkey",), root)
+    table = serving.ServingTable(i.spark, f"{schema}.customers", ("c_custkey",), root, buckets=8)
     table.snapshot(i.raw("customer"))
     table.insert(added)
     building = F.col("c_mktsegment") == "BUILDING"

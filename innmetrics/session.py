@@ -50,11 +50,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def list_folders(spark: SparkSession, path: str) -> list[str]:
-    """Complete folders right below ``path``: those that a Spark writer has committed."""
+def list_files(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files right below ``path``; none if there is no such folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in store.listStatus(place)} if store.exists(place) else set()
+
+
+def list_folders(spark: SparkSession, path: str, newest_first: bool = False) -> list[str]:
+    """Complete folders right below ``path``, by name or by age: those that a Spark writer
+    has committed."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = place.getFileSystem(spark._jsc.hadoopConfiguration())
     if not store.exists(place):
         return []
-    found = [status.getPath().toString() for status in store.listStatus(place) if status.isDirectory()]
-    return sorted(f for f in found if folder_exists(spark, f"{f}/_SUCCESS"))
+    found = [(s.getModificationTime(), s.getPath().toString()) for s in store.listStatus(place) if s.isDirectory()]
+    done = [(at, f) for at, f in found if folder_exists(spark, f"{f}/_SUCCESS")]
+    return [f for _, f in sorted(done, reverse=True)] if newest_first else sorted(f for _, f in done)

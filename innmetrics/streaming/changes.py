@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from innmetrics.operators.ranking import top_per_key
 from innmetrics.session import folder_exists, list_folders, remove_folder
-from innmetrics.sources.serving import ServingTable, newest
+from innmetrics.sources.serving import BUCKET, DELETED, ServingTable, newest
 
 
 def stream_changes(
@@ -25,8 +25,9 @@ def stream_changes(
 ) -> StreamingQuery:
     """Appends the newest row per key of each batch to a change log.
 
-    Rewriting the table per batch would cost its full size every few seconds, so batches
-    only append; ``current_rows`` resolves them on reading and ``fold`` moves them into the
+    A change may have a column ``_deleted``: where it is set, the key is gone, and only its
+    key and ``latest`` columns matter. Rewriting the table per batch would cost its touched
+    buckets every few seconds, so batches only append; ``current_rows`` resolves them on reading and ``fold`` moves them into the
     table. A batch owns one folder, so running it again after a failure replaces its rows
     and adds none. A fresh checkpoint counts its batches anew, in folders of its own.
     """
@@ -42,6 +43,8 @@ def stream_changes(
 
     def append(batch: DataFrame, batch_id: int) -> None:
         order = [F.col(c).desc() for c in latest]
+        if DELETED in batch.columns:
+            order.append(F.col(DELETED).desc_nulls_last())
         top_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{log}/rows/{run}-{batch_id}")
 
     writer = changes.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
@@ -52,28 +55,32 @@ def stream_changes(
     return writer.trigger(processingTime=interval).start()
 
 
-def current_rows(
-    spark: SparkSession, snapshot: DataFrame, log: str, keys: Sequence[str], latest: Sequence[str]
-) -> DataFrame:
-    """The snapshot with all logged changes applied."""
-    folders = list_folders(spark, f"{log}/rows")
-    return newest(snapshot, _logged(spark, snapshot, folders), keys, latest) if folders else snapshot
+def current_rows(table: ServingTable, log: str, latest: Sequence[str]) -> DataFrame:
+    """The table with all logged changes applied."""
+    logged = _logged(table, log)
+    if logged is None:
+        return table.read()
+    found = newest(table.stored(), logged, table.keys, latest)
+    return found.where(f"NOT {DELETED}").select(*table.read().columns)
 
 
 def fold(table: ServingTable, log: str, latest: Sequence[str]) -> int:
-    """Moves the logged batches into the table and returns how many there were.
+    """Moves the logged batches into the buckets they touch and returns how many there were.
 
     They are removed once the table holds them. If that fails halfway they are applied
     again by the next reader, which changes nothing; batches logged meanwhile stay.
     """
-    spark = table.spark
-    folders = list_folders(spark, f"{log}/rows")
+    folders = list_folders(table.spark, f"{log}/rows")
     if folders:
-        table.merge(_logged(spark, table.read(), folders), latest)
+        table.merge(_logged(table, log, folders), latest)
     for folder in folders:
-        remove_folder(spark, folder)
+        remove_folder(table.spark, folder)
     return len(folders)
 
 
-def _logged(spark: SparkSession, snapshot: DataFrame, paths: list[str]) -> DataFrame:
-    return spark.read.schema(snapshot.schema).parquet(*paths).select(*snapshot.columns)
+def _logged(table: ServingTable, log: str, folders: list[str] | None = None) -> DataFrame | None:
+    folders = list_folders(table.spark, f"{log}/rows") if folders is None else folders
+    if not folders:
+        return None
+    schema = table.stored().drop(BUCKET).schema
+    return table.spark.read.schema(schema).parquet(*folders)

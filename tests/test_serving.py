@@ -1,5 +1,9 @@
 """Snapshots, merges, change streams and incremental ingest."""
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+
 import pytest
 from market_rows import booking, event, rows
 from pyspark.sql import functions as F
@@ -7,7 +11,7 @@ from pyspark.sql import functions as F
 from innmetrics.config import Config
 from innmetrics.plans import validate
 from innmetrics.plans.pipeline import RULES, Marketplace, current_tables, quality_report, refresh
-from innmetrics.session import work_folder
+from innmetrics.session import list_folders, work_folder
 from innmetrics.sources import serving
 from innmetrics.sources.catalog import describe, list_tables
 from innmetrics.sources.serving import DuplicateKeyError, ServingTable, SyncTarget, sync_all
@@ -147,17 +151,134 @@ def test_stored_rows_can_be_changed(spark, table):
     ]
 
 
+def files(table):
+    """Data files of each bucket."""
+    found = {}
+    for file in table.stored().inputFiles():
+        found.setdefault(file.rsplit("/", 2)[-2], set()).add(file)
+    return found
+
+
+@pytest.fixture
+def bucketed(table):
+    return replace(table, buckets=16)
+
+
+def test_changes_leave_untouched_buckets_alone(spark, bucketed):
+    bucketed.snapshot(spark.range(1000).selectExpr("id AS k", "1L AS at", "'a' AS v"))
+    before = files(bucketed)
+    assert len(before) == 16
+
+    def changed(change):
+        nonlocal before
+        change()
+        after = files(bucketed)
+        moved = {b for b in before.keys() | after.keys() if before.get(b) != after.get(b)}
+        before = after
+        return len(moved)
+
+    assert changed(lambda: bucketed.merge(frame(spark, (5, 2, "b"), (5, 1, "c")), ["at"])) == 1
+    assert changed(lambda: bucketed.insert(frame(spark, (1000, 1, "n")))) == 1
+    assert changed(lambda: bucketed.update(F.col("k") == 7, {"v": F.lit("u")})) == 1
+    assert changed(lambda: bucketed.delete(F.col("k").isin(8, 9))) <= 2
+    assert changed(lambda: bucketed.delete(F.col("k") < -1)) == 0
+    expected = {k: (1, "a") for k in range(1001)} | {5: (2, "b"), 1000: (1, "n"), 7: (1, "u")}
+    del expected[8], expected[9]
+    assert {r.k: (r.at, r.v) for r in bucketed.read().collect()} == expected
+    with pytest.raises(ValueError, match="key"):
+        bucketed.update(F.col("k") == 7, {"k": F.lit(8)})
+
+
+def test_a_bucket_without_rows_goes(spark, bucketed):
+    bucketed.snapshot(frame(spark, *[(k, 1, "a") for k in range(40)]))
+    bucketed.delete(F.col("k") < 39)
+    assert rows(bucketed.read()) == [(39, 1, "a")]
+    assert len(files(bucketed)) == 1
+    bucketed.merge(frame(spark, (3, 1, "again")), ["at"])
+    assert rows(bucketed.read()) == [(3, 1, "again"), (39, 1, "a")]
+
+
+def test_deletes_travel_with_the_changes(spark, bucketed):
+    marked = lambda *data: spark.createDataFrame(list(data), _SCHEMA + ", _deleted boolean")
+    bucketed.snapshot(frame(spark, (1, 5, "a"), (2, 5, "b"), (3, 5, "c")))
+    batch = marked((1, 6, None, True), (2, 4, None, True), (3, 6, "x", None), (4, 6, "n", False), (4, 6, None, True))
+    for _ in range(2):  # a replayed batch changes nothing
+        bucketed.merge(batch, ["at"])
+        assert rows(bucketed.read()) == [(2, 5, "b"), (3, 6, "x")]
+    bucketed.merge(marked((1, 5, "late", False)), ["at"])  # older than the deletion
+    assert rows(bucketed.read(), "k") == [(2,), (3,)]
+    bucketed.merge(marked((1, 7, "back", False)), ["at"])
+    assert rows(bucketed.read()) == [(1, 7, "back"), (2, 5, "b"), (3, 6, "x")]
+    with pytest.raises(DuplicateKeyError):
+        bucketed.insert(frame(spark, (3, 9, "y")))
+    bucketed.insert(frame(spark, (4, 1, "inserted")))  # its mark goes
+    assert rows(bucketed.read(), "k") == [(1,), (2,), (3,), (4,)]
+    bucketed.merge(marked((2, 8, None, True)), ["at"])
+    bucketed.forget_deleted(F.col("at") < 9)
+    assert bucketed.stored().where("_deleted").count() == 0
+    bucketed.merge(marked((2, 1, "older", False)), ["at"])
+    assert (2, 1, "older") in rows(bucketed.read())
+
+
+def test_old_versions_go_but_for_those_in_use(spark, table):
+    for n in range(5):
+        table.snapshot(frame(spark, (n, 1, "a")))
+        if n == 1:
+            held = table.location()
+            spark.sql(f"CREATE VIEW {table.name}_copy TBLPROPERTIES ('path' = '{held}') AS SELECT * FROM parquet.`{held}`")
+    left = list_folders(spark, f"{table.root}/{table.name}")
+    assert len(left) == 3 and table.location().rsplit("/", 1)[-1] in {f.rsplit("/", 1)[-1] for f in left}
+    assert spark.table(f"{table.name}_copy").count() == 1
+    assert rows(table.read(), "k") == [(4,)]
+
+
+def test_new_columns_appear_without_a_moment_of_no_table(spark, table):
+    """A reader that asks all the time finds the old or the new version."""
+    table.snapshot(frame(spark, (1, 1, "a")))
+    seen, done = [], threading.Event()
+
+    def watch():
+        while not done.is_set():
+            seen.append(tuple(spark.table(table.name).columns))
+
+    with ThreadPoolExecutor(1) as pool:
+        watching = pool.submit(watch)
+        table.snapshot(frame(spark, (1, 1, "a")).withColumn("more", F.lit(5)))
+        table.snapshot(frame(spark, (1, 1, "a")).drop("v"))
+        done.set()
+        watching.result()
+    assert set(seen) <= {("k", "at", "v"), ("k", "at", "v", "more"), ("k", "at")} and len(seen) > 3
+
+
 # ------------------------------------------------------------------------------ streams
 
 
-def test_change_stream_over_several_batches(spark):
+def test_deletes_in_a_change_stream(spark, bucketed):
+    root, log = work_folder(spark, "test"), f"{bucketed.root}/log"
+    schema = _SCHEMA + ", _deleted boolean"
+    bucketed.snapshot(frame(spark, (1, 5, "a"), (2, 5, "b")))
+
+    def run(name, *data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.parquet(f"{root}/in/{name}")
+        stream_changes(file_stream(spark, f"{root}/in/*", schema), log, f"{root}/checkpoint", ["k"], ["at"])
+        return rows(current_rows(bucketed, log, ["at"]))
+
+    assert run("one", (1, 6, None, True), (3, 1, "n", False)) == [(2, 5, "b"), (3, 1, "n")]
+    assert run("two", (1, 4, "late", False), (2, 6, "z", None)) == [(2, 6, "z"), (3, 1, "n")]
+    assert fold(bucketed, log, ["at"]) == 2
+    assert rows(bucketed.read()) == [(2, 6, "z"), (3, 1, "n")]
+    assert run("three", (1, 5, "later still", False), (3, 2, None, True)) == [(2, 6, "z")]
+    assert fold(bucketed, log, ["at"]) == 1 and rows(bucketed.read()) == [(2, 6, "z")]
+
+
+def test_change_stream_over_several_batches(spark, table):
     root = work_folder(spark, "test")
-    base = frame(spark, (1, 5, "a"), (2, 5, "b"))
+    table.snapshot(frame(spark, (1, 5, "a"), (2, 5, "b")))
 
     def run():
         source = file_stream(spark, f"{root}/in/*", _SCHEMA, files_per_batch=1)
         stream_changes(source, f"{root}/log", f"{root}/checkpoint", ["k"], ["at"])
-        return rows(current_rows(spark, base, f"{root}/log", ["k"], ["at"]))
+        return rows(current_rows(table, f"{root}/log", ["at"]))
 
     frame(spark, (1, 6, "x"), (3, 1, "n"), (3, 2, "m")).coalesce(1).write.parquet(f"{root}/in/one")
     assert run() == [(1, 6, "x"), (2, 5, "b"), (3, 2, "m")]
@@ -170,7 +291,7 @@ def test_logged_changes_fold_into_the_table(spark, table):
     root = work_folder(spark, "test")
     table.snapshot(frame(spark, (1, 5, "a"), (2, 5, "b")))
     log = f"{root}/log"
-    assert rows(current_rows(spark, table.read(), log, ["k"], ["at"])) == [(1, 5, "a"), (2, 5, "b")]
+    assert rows(current_rows(table, log, ["at"])) == [(1, 5, "a"), (2, 5, "b")]
     assert fold(table, log, ["at"]) == 0
 
     def run(checkpoint, *data):
@@ -182,9 +303,9 @@ def test_logged_changes_fold_into_the_table(spark, table):
     run("one", (1, 6, "x"), (3, 1, "n"))
     run("two", (2, 7, "y"))  # its first batch doesn't replace the one of the other stream
     expected = [(1, 6, "x"), (2, 7, "y"), (3, 1, "n")]
-    assert rows(current_rows(spark, table.read(), log, ["k"], ["at"])) == expected
+    assert rows(current_rows(table, log, ["at"])) == expected
     assert fold(table, log, ["at"]) == 2
-    assert rows(table.read()) == rows(current_rows(spark, table.read(), log, ["k"], ["at"])) == expected
+    assert rows(table.read()) == rows(current_rows(table, log, ["at"])) == expected
     run("one", (1, 8, "z"))
     assert fold(table, log, ["at"]) == 1
     assert rows(table.read()) == [(1, 8, "z"), (2, 7, "y"), (3, 1, "n")]
