@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -111,17 +110,6 @@ def passes(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (packed[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def filter_test(spark: SparkSession, packed: np.ndarray) -> Callable[[Column], Column]:
-    """``passes`` as a function of a bigint column; the filter is broadcast once."""
-    sent = spark.sparkContext.broadcast(packed)
-
-    @F.pandas_udf("boolean")
-    def hit(values: pd.Series) -> pd.Series:
-        return pd.Series(passes(sent.value, values.to_numpy()))
-
-    return hit
-
-
 def plain_words(text: str | None) -> list[bytes]:
     """Maximal runs without ASCII white space, A-Z in lower case, as UTF-8."""
     return text.encode().lower().split() if text else []

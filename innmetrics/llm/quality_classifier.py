@@ -186,8 +186,9 @@ def fit(ids: list, weights: list, statistics: list, labels: np.ndarray, settings
 def train(docs: DataFrame, labels: DataFrame, settings: QualityModelSettings = QualityModelSettings()):
     """The model of at most ``sample_rows`` labelled rows (doc_id, quality).
 
-    Where ids repeat with different labels the lower counts; null ids and labels are
-    left out. Without labels every text scores one half.
+    Where ids repeat with different labels the lower counts, and of the rows of one id the
+    first in order, so no more rows come to the driver than ids are sampled; null ids and
+    labels are left out. Without labels every text scores one half.
     """
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -197,7 +198,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: QualityModelSettings = Q
         .limit(settings.sample_rows)
     )
     wanted = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
-    rows = docs.select(*wanted).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select(*wanted).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality")
+    rows = rows.agg(F.min(F.struct(*[c for c in wanted if c != "doc_id"])).alias("first")).select("doc_id", "quality", "first.*")
     found = raw_features(rows, settings, "quality", "doc_id").toArrow().sort_by("doc_id")
     column = lambda name: [np.asarray(v.values) for v in found[name]]
     return fit(column("ids"), column("weights"), column("statistics"), found["quality"].to_numpy().astype(float), settings)

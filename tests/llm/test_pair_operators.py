@@ -67,15 +67,6 @@ def test_close_pairs_are_complete(spark):
     assert len(made) == len(set(made)) and set(made) == expected
 
 
-def test_verified_duplicates(spark):
-    rnd = random.Random(9)
-    words = [f"w{rnd.randrange(5000)}" for _ in range(400)]
-    docs = [(1, " ".join(words)), (2, " ".join(words)), (3, edited(rnd, words, 5)), (4, " ".join(reversed(words)))]
-    docs += [(5, None), (6, ""), (7, "short text"), (8, "short text!")]
-    made = {r.doc_id: r.group_id for r in simhash.verified_duplicates(frame(spark, docs)).collect()}
-    assert made == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8}
-
-
 def test_repeats_equal_comparing_all(spark):
     rnd = random.Random(3)
     base = ["".join(rnd.choices("ab cé", k=rnd.randint(30, 300))) for _ in range(20)]
@@ -149,60 +140,6 @@ def test_leaks_are_found_and_others_left(spark):
     assert decontaminate.contaminated(frame(spark, docs), benchmark.limit(0)).count() == 0
 
 
-def brute_groups(docs, size=5, similarity=0.8):
-    """group of each doc_id by comparing every two texts."""
-    sets = [(i, set(zip(*[t.lower().split()[k:] for k in range(size)]))) for i, t in docs]
-    parent = {i: i for i, _ in docs}
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for n, (i, x) in enumerate(sets):
-        for j, y in sets[:n]:
-            if len(x & y) >= similarity * len(x | y):
-                low, high = sorted((root(i), root(j)))
-                parent[high] = low
-    return {i: root(i) for i in parent}
-
-
-def grouped(spark, docs):
-    return {r.doc_id: r.group_id for r in simhash.verified_duplicates(frame(spark, docs)).collect()}
-
-
-def test_verified_duplicates_lose_no_pair(spark):
-    """Every pair at 0.8 or above is linked, however far its fingerprints are apart."""
-    rnd = random.Random(21)
-    docs = []
-    for _ in range(150):
-        words = [f"w{rnd.randrange(3000)}" for _ in range(rnd.randint(25, 130))]
-        docs.append((len(docs), " ".join(words)))
-        for _ in range(rnd.randint(1, 2)):
-            copy = list(words)
-            for _ in range(max(1, round(len(words) / 50))):
-                copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(10**6)}"
-            docs.append((len(docs), " ".join(copy)))
-    expected = brute_groups(docs)
-    assert sum(i != g for i, g in expected.items()) > 100
-    assert grouped(spark, docs) == expected
-
-
-def test_texts_over_one_vocabulary_are_told_apart(spark):
-    """Texts with the same different words, and so one fingerprint over them, are each
-    compared with their own near copy, not with the first alone."""
-    rnd = random.Random(22)
-    vocabulary = [f"w{i}" for i in range(100)]
-    texts = [vocabulary + [rnd.choice(vocabulary) for _ in range(900)] for _ in range(20)]
-    docs = [(i, " ".join(words)) for i, words in enumerate(texts)]
-    for i, words in enumerate(texts):
-        copy = list(words)
-        for at in rnd.sample(range(100, 999), 4):
-            copy[at], copy[at + 1] = copy[at + 1], copy[at]
-        docs.append((100 + i, " ".join(copy)))
-    assert grouped(spark, docs) == {i: i % 100 for i, _ in docs}
-
-
 def test_leaks_are_found_beside_exact_copies(spark):
     """Exact copies of an item don't hide an edited one whose equal runs stand alone."""
     words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
