@@ -90,6 +90,8 @@ class ServingTable:
         if self.buckets > 1:
             placed = placed.hint("rebalance", BUCKET)  # few files per bucket, several for a large one
         placed.write.partitionBy(BUCKET).parquet(path)
+        # a file without rows: the columns are known also where no bucket has any
+        placed.limit(0).drop(BUCKET).write.parquet(f"{path}/{BUCKET}=-1")
         written = self.spark.read.schema(placed.schema).parquet(path)
         self._check_keys(written, lambda: remove_folder(self.spark, path))
         columns = ", ".join(f"`{c}`" for c in rows.columns if c != DELETED)
@@ -177,16 +179,15 @@ class ServingTable:
     def _drop_old_versions(self) -> None:
         """Keeps the current version, the newest ``keep`` before it, and any that another
         view of the schema still shows."""
+        used = {self.location().rsplit("/", 1)[-1]}
         schema = self.name.rpartition(".")[0]
-        used = set()
-        for other in self.spark.catalog.listTables(schema or None):
-            found = self.spark.sql(f"SHOW TBLPROPERTIES {schema + '.' if schema else ''}{other.name}").collect()
-            used |= {r.value.rsplit("/", 1)[-1] for r in found if r.key == "path"}
+        for other in self.spark.sql(f"SHOW VIEWS IN {schema}").collect() if schema else ():
+            if not other.isTemporary:
+                found = self.spark.sql(f"SHOW TBLPROPERTIES {schema}.{other.viewName}").collect()
+                used |= {r.value.rsplit("/", 1)[-1] for r in found if r.key == "path"}
         versions = list_folders(self.spark, f"{self.root}/{self.name}", newest_first=True)
-        old = [v for v in versions if v.rsplit("/", 1)[-1] != self.location().rsplit("/", 1)[-1]][self.keep :]
-        for version in old:
-            if version.rsplit("/", 1)[-1] not in used:
-                remove_folder(self.spark, version)
+        for version in [v for v in versions if v.rsplit("/", 1)[-1] not in used][self.keep :]:
+            remove_folder(self.spark, version)
 
 
 def _marked(rows: DataFrame) -> DataFrame:
