@@ -29,6 +29,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--clickstream", help="full name of another clickstream table")
     parser.add_argument("--clicks", help="ingest: folder or glob of raw clickstream files, which only gains files")
     parser.add_argument("--streamed", help="refresh: event table that ingest keeps, used instead of raw events")
+    parser.add_argument("--keep", type=int, help="refresh: versions to keep, the new one included")
     parser.add_argument("--output", required=True, help="folder for the results")
     parser.add_argument("--publish", help="catalog schema for the serving tables")
     parser.add_argument("--as-of", type=date.fromisoformat, help="day on which stays count as past")
@@ -54,7 +55,7 @@ def main(arguments: list[str] | None = None) -> None:
     if options.streamed:
         columns = silver_clickstream(tables.clickstream).schema
         streamed = spark.read.schema(columns).parquet(options.streamed).select(*columns.names)
-    written, violations = refresh(Marketplace(tables, config), options.output, streamed)
+    written, violations = refresh(Marketplace(tables, config), options.output, streamed, f"{options.output}/_days", options.keep)
     for dataset, counts in violations.items():
         print(dataset, counts)
     if options.publish:

@@ -267,7 +267,7 @@ PARTS: dict[str, str] = {
         FROM property_conversion AS c CROSS JOIN amenities AS a
         LEFT JOIN property_amenities AS own
                ON own.property_id = c.property_id AND own.amenity_id = a.amenity_id
-        WHERE coalesce(initiation, confirmation, completion) IS NOT NULL
+        WHERE (initiation IS NOT NULL OR confirmation IS NOT NULL OR completion IS NOT NULL)
         GROUP BY ALL""",
     "amenity_lift": """
         SELECT amenity_id, amenity_name, amenity_category, city, property_type,
@@ -281,7 +281,7 @@ PARTS: dict[str, str] = {
                CASE WHEN round(coalesce(c1, 0) - coalesce(c0, 0), 10) >= 8 THEN 'must_have'
                     WHEN round(coalesce(c1, 0) - coalesce(c0, 0), 10) >= 4 THEN 'differentiator'
                     ELSE 'low_impact' END AS impact_tier
-        FROM amenity_means WHERE least(properties_with, properties_without) > 0""",
+        FROM amenity_means WHERE properties_with > 0 AND properties_without > 0""",
     "amenity_ranks": """
         SELECT city, property_type, amenity_name, confirmation_lift,
                row_number() OVER (PARTITION BY city, property_type

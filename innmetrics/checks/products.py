@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from innmetrics.checks.oracle_parts import COMPLETED, CONFIRMED
 from innmetrics.checks.registry import Inputs, check
 from innmetrics.operators.quality import report
-from innmetrics.plans import explore, performance, silver, synth, validate
-from innmetrics.plans.funnels import FUNNEL_RULES
+from innmetrics.plans import daily, explore, performance, silver, synth, validate
+from innmetrics.plans.funnels import EVENT_COLUMNS, FUNNEL_RULES
 from innmetrics.plans.pipeline import quality_report, refresh
 
 # ------------------------------------------------------------------------ silver, gold
@@ -37,6 +38,48 @@ def city_funnel(i: Inputs):
     return i.market.city_funnel
 
 
+def _stored_clicks(i: Inputs, path: str, part) -> None:
+    part.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def _day_state(i: Inputs) -> str:
+    """Day state that followed the event table in two steps."""
+    root = i.folder("days")
+    clicks = i.market.silver_clickstream
+    for later in (False, True):
+        _stored_clicks(i, f"{root}/clicks", clicks.where((F.col("event_date") >= "2024-01-15") == later))
+        stored = i.spark.read.schema(clicks.schema).parquet(f"{root}/clicks").select(*clicks.columns)
+        daily.update_state(stored, i.tables, f"{root}/state")
+    return f"{root}/state"
+
+
+@check("incremental_city_funnel", "SELECT * FROM city_funnel")
+def incremental_city_funnel(i: Inputs):
+    return daily.city_funnel_of_state(_day_state(i), i.market.silver_bookings_enriched, i.config)
+
+
+@check(
+    "city_funnel_weekly",
+    f"""WITH clicks AS (
+          SELECT city, CAST(date_trunc('week', event_date) AS DATE) AS event_date,
+                 {", ".join(f"count(DISTINCT user_id) FILTER (WHERE event = '{event}') AS {name}" for name, event in EVENT_COLUMNS.items())}
+          FROM silver_clicks JOIN located USING (property_id) GROUP BY 1, 2),
+        bookers AS (
+          SELECT city, CAST(date_trunc('week', booking_date) AS DATE) AS event_date,
+                 count(DISTINCT user_id) AS initiated_bookers,
+                 count(DISTINCT user_id) FILTER (WHERE {CONFIRMED}) AS confirmed_bookers,
+                 count(DISTINCT user_id) FILTER (WHERE {COMPLETED}) AS completers
+          FROM window_bookings GROUP BY 1, 2)
+        SELECT city, event_date AS week_start, {", ".join(f"coalesce({n}, 0) AS {n}" for n in daily.NAMES)}
+        FROM clicks FULL JOIN bookers USING (city, event_date)""",
+)
+def city_funnel_weekly(i: Inputs):
+    """Different users per week from the days' sets: nobody counts twice."""
+    week = F.date_trunc("week", "event_date").cast("date")
+    weekly = daily.city_funnel_of_state(_day_state(i), i.market.silver_bookings_enriched, i.config, week)
+    return weekly.withColumnRenamed("event_date", "week_start")
+
+
 @check("city_investment", "SELECT * FROM city_investment", doubles="conversion_rate estimated_revenue")
 def city_investment(i: Inputs):
     return i.market.city_investment

@@ -20,10 +20,11 @@ FUNNEL_RULES = (
     Constraint("logical_funnel", "initiated_bookers >= confirmed_bookers AND confirmed_bookers >= completers"),
 )
 
-_STAGES = ("initiated_bookers", "confirmed_bookers", "completers")
+EVENT_COLUMNS = {"viewers": "view", "clickers": "click", "searchers": "search", "filterers": "filter"}
+STAGES = ("initiated_bookers", "confirmed_bookers", "completers")
 
 
-def _stage_flags(today: Column) -> dict[str, Column]:
+def stage_flags(today: Column) -> dict[str, Column]:
     return {
         "initiated_bookers": F.lit(True),
         "confirmed_bookers": is_confirmed(),
@@ -45,20 +46,19 @@ def city_funnel(
     where joining separate counts would shuffle once per stage. A day present on either
     side appears with zeros for the other.
     """
-    events = {"viewers": "view", "clickers": "click", "searchers": "search", "filterers": "filter"}
     clicks = city_traffic(silver_clicks, located_properties(tables)).select(
         "city",
         "event_date",
         "user_id",
-        *[(F.col("event") == event).alias(name) for name, event in events.items()],
+        *[(F.col("event") == event).alias(name) for name, event in EVENT_COLUMNS.items()],
     )
     bookers = silver_bookings.where(in_booking_window("booking_date", boundaries)).select(
         "city",
         F.col("booking_date").alias("event_date"),
         "user_id",
-        *[flag.alias(name) for name, flag in _stage_flags(config.today()).items()],
+        *[flag.alias(name) for name, flag in stage_flags(config.today()).items()],
     )
-    names = [*events, *_STAGES]
+    names = [*EVENT_COLUMNS, *STAGES]
     return count_members(
         clicks.unionByName(bookers, allowMissingColumns=True),
         ["city", "event_date"],
@@ -120,13 +120,13 @@ def device_funnel(
         "device",
         F.date_trunc("week", F.to_date("booking_created_at")).alias("week_start"),
         "user_id",
-        *[flag.alias(name) for name, flag in _stage_flags(config.today()).items()],
+        *[flag.alias(name) for name, flag in stage_flags(config.today()).items()],
     )
     counts = count_members(
         viewers.unionByName(bookers, allowMissingColumns=True),
         ["city", "device", "week_start"],
         "user_id",
-        {name: F.col(name) for name in ("viewers", *_STAGES)},
+        {name: F.col(name) for name in ("viewers", *STAGES)},
     )
     viewed = F.col("viewers")
     return counts.select(

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from innmetrics.config import Config
 from innmetrics.operators.quality import Constraint, enforce, observed
-from innmetrics.plans import amenity, funnels, performance, segments, silver
-from innmetrics.session import folder_exists
+from innmetrics.plans import amenity, daily, funnels, performance, segments, silver
+from innmetrics.session import folder_exists, remove_folder
 from innmetrics.sources.tables import MarketTables
 
 
@@ -98,7 +98,7 @@ PARTITIONED = {"silver_clickstream": "event_date"}
 
 
 def refresh(
-    market: Marketplace, root: str, streamed: DataFrame | None = None
+    market: Marketplace, root: str, streamed: DataFrame | None = None, days: str | None = None, keep: int | None = None
 ) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
     """Writes every table of a new version below ``root`` and returns them with their
     violation counts.
@@ -108,7 +108,9 @@ def refresh(
     counted in the writing pass itself. The version becomes the current one only when all
     its tables are done, so a failing constraint leaves the old tables as they were, and
     together. ``streamed`` is a cleaned event table kept by ingest; it is used as it is,
-    and history isn't read again.
+    and history isn't read again. With ``days``, a folder of day state that goes on from
+    refresh to refresh, the city funnel reads only the events of days that gained files.
+    ``keep`` removes all but so many of the newest versions.
     """
     spark = market.tables.bookings.sparkSession
     market = Marketplace(market.tables, market.config)
@@ -123,6 +125,9 @@ def refresh(
         if name == "silver_clickstream" and streamed is not None:
             written[name] = vars(market)[name] = streamed
             continue
+        if name == "city_funnel" and streamed is not None and days:
+            daily.update_state(streamed, market.tables, days)
+            vars(market)[name] = daily.city_funnel_of_state(days, market.silver_bookings_enriched, market.config)
         if name in _BEFORE_RULES:
             rows, observation = observed(_BEFORE_RULES[name](market.tables), rules, name)
             rows = enforce(rows, rules)
@@ -143,9 +148,20 @@ def refresh(
         vars(market)[name] = written[name]  # later datasets build on the written one
     done = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
     done.coalesce(1).write.mode("append").parquet(f"{root}/{VERSIONS}")
+    if keep is not None:
+        drop_versions(spark, root, keep)
     return written, violations
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Removes all complete versions but the ``keep`` newest, the current one included;
+    readers of older ones must have ended. Versions that never were complete stay."""
+    done = spark.read.parquet(f"{root}/{VERSIONS}").orderBy(F.desc("at"), "version").collect()  # a row per refresh
+    for row in done[max(1, keep) :]:
+        if folder_exists(spark, f"{root}/{row.version}"):
+            remove_folder(spark, f"{root}/{row.version}")
+
+
 _BEFORE_RULES = {
     "silver_clickstream": lambda tables: silver.flat_clickstream(tables.clickstream),
     "silver_bookings_enriched": silver.bookings_before_rules,

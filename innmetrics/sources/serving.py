@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innmetrics.operators.ranking import duplicate_keys, top_per_key
-from innmetrics.session import list_files, list_folders, remove_folder, work_folder
+from innmetrics.session import list_folders, remove_folder, work_folder
+from innmetrics.sources.parts import overwrite_parts
 
 
 class DuplicateKeyError(ValueError):
@@ -157,18 +158,8 @@ class ServingTable:
         return sorted(r[0] for r in rows.select(BUCKET).distinct().collect())  # at most ``buckets`` rows
 
     def _replace(self, rows: DataFrame, touched: list[int]) -> None:
-        """Overwrites the touched buckets; those that no row is left of are removed."""
-        if not touched:
-            return
-        path = self.location()
-        folders = [f"{path}/{BUCKET}={bucket}" for bucket in touched]
-        before = [list_files(self.spark, folder) for folder in folders]
-        if self.buckets > 1:
-            rows = rows.hint("rebalance", BUCKET)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
-        for folder, old in zip(folders, before):
-            if list_files(self.spark, folder) == old:  # nothing was written to it
-                remove_folder(self.spark, folder)
+        if touched:
+            overwrite_parts(rows, self.location(), BUCKET, touched)
 
     def _check_keys(self, rows: DataFrame, on_failure: Callable[[], None] = lambda: None) -> None:
         repeated = duplicate_keys(rows, self.keys).limit(1).collect()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from innmetrics.config import Config
 from innmetrics.plans import validate
 from innmetrics.plans.pipeline import RULES, Marketplace, current_tables, quality_report, refresh
-from innmetrics.session import list_folders, work_folder
+from innmetrics.session import folder_exists, list_folders, work_folder
 from innmetrics.sources import serving
 from innmetrics.sources.catalog import describe, list_tables
 from innmetrics.sources.serving import DuplicateKeyError, ServingTable, SyncTarget, sync_all
@@ -124,6 +124,15 @@ def test_a_failing_constraint_leaves_all_old_tables(market, spark):
     assert rows(current_tables(spark, root)["silver_clickstream"], "user_id") == [(2,)]
 
 
+def test_refresh_keeps_so_many_versions(market, spark):
+    root = work_folder(spark, "test")
+    for user in (1, 2, 3):
+        refresh(market(clickstream=[event(user, 1)]), root, keep=2)
+    assert rows(current_tables(spark, root)["silver_clickstream"], "user_id") == [(3,)]
+    versions = [r.version for r in spark.read.parquet(f"{root}/_versions").orderBy("at").collect()]
+    assert [folder_exists(spark, f"{root}/{v}") for v in versions] == [False, True, True]
+
+
 def test_dropped_rows_are_counted_while_writing(market, spark):
     m = market(clickstream=[event(1, 1), event(None, 1), event(1, 1, "hover")], bookings=[booking(1, 1, 1)])
     _, violations = refresh(m, work_folder(spark, "test"))
