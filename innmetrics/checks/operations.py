@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from innmetrics.checks.registry import Inputs, check
 from innmetrics.operators.ranking import top_per_key
-from innmetrics.plans import monitoring, scoring
+from innmetrics.plans import monitoring, scoring, spans
 from innmetrics.plans.pipeline import refresh
 from innmetrics.sources import serving, testdata
 from innmetrics.streaming.changes import current_rows, stream_changes
@@ -214,6 +214,33 @@ def span_explode(i: Inputs):
     return monitoring.span_explode(traces, ["conv_id", "turn"])
 
 
+@check(
+    "span_tree",
+    """SELECT s.conv_id, s.turn, w.depth, w.path, s.duration - coalesce(b.below, 0) AS own_time
+       FROM (SELECT conv_id, turn, strlen(text) AS duration FROM conversations) AS s
+       JOIN (WITH RECURSIVE ways(conv_id, turn, depth, path) AS (
+               SELECT conv_id, turn, CAST(0 AS BIGINT), CAST(turn AS VARCHAR) FROM conversations WHERE turn = 0
+               UNION ALL
+               SELECT c.conv_id, c.turn, w.depth + 1, w.path || '/' || c.turn
+               FROM conversations AS c JOIN ways AS w ON w.conv_id = c.conv_id AND c.turn > 0 AND (c.turn - 1) // 2 = w.turn)
+             SELECT * FROM ways) AS w USING (conv_id, turn)
+       LEFT JOIN (SELECT conv_id, (turn - 1) // 2 AS turn, sum(strlen(text)) AS below
+                  FROM conversations WHERE turn > 0 GROUP BY 1, 2) AS b USING (conv_id, turn)""",
+    bigints="own_time",
+)
+def span_tree(i: Inputs):
+    """Every turn but the first answers an earlier one of its conversation."""
+    turns = i.raw("conversations").select(
+        "conv_id",
+        "turn",
+        F.expr("if(turn > 0, (turn - 1) div 2, NULL)").cast("int").alias("answered"),
+        F.octet_length("text").cast("bigint").alias("duration"),
+    )
+    turns = turns.withColumn("answered", F.col("answered").cast(turns.schema["turn"].dataType))
+    tree = spans.span_tree(turns, ["conv_id"], "turn", "answered", "duration")
+    return tree.select("conv_id", "turn", "depth", "path", "own_time")
+
+
 @check(
     "feedback_summary",
     """SELECT source, count(*) AS answers, avg(quality) AS mean_quality, avg(toxic) AS mean_toxic

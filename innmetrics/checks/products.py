@@ -60,18 +60,17 @@ def incremental_city_funnel(i: Inputs):
 
 @check(
     "city_funnel_weekly",
-    f"""WITH clicks AS (
+    f"""SELECT city, event_date AS week_start, {", ".join(f"coalesce({n}, 0) AS {n}" for n in daily.NAMES)}
+        FROM (
           SELECT city, CAST(date_trunc('week', event_date) AS DATE) AS event_date,
-                 {", ".join(f"count(DISTINCT user_id) FILTER (WHERE event = '{event}') AS {name}" for name, event in EVENT_COLUMNS.items())}
-          FROM silver_clicks JOIN located USING (property_id) GROUP BY 1, 2),
-        bookers AS (
+                 {", ".join(f"count(DISTINCT user_id) FILTER (WHERE event = '{e}') AS {n}" for n, e in EVENT_COLUMNS.items())}
+          FROM silver_clicks JOIN located USING (property_id) GROUP BY 1, 2) AS clicks
+        FULL JOIN (
           SELECT city, CAST(date_trunc('week', booking_date) AS DATE) AS event_date,
                  count(DISTINCT user_id) AS initiated_bookers,
                  count(DISTINCT user_id) FILTER (WHERE {CONFIRMED}) AS confirmed_bookers,
                  count(DISTINCT user_id) FILTER (WHERE {COMPLETED}) AS completers
-          FROM window_bookings GROUP BY 1, 2)
-        SELECT city, event_date AS week_start, {", ".join(f"coalesce({n}, 0) AS {n}" for n in daily.NAMES)}
-        FROM clicks FULL JOIN bookers USING (city, event_date)""",
+          FROM window_bookings GROUP BY 1, 2) AS bookers USING (city, event_date)""",
 )
 def city_funnel_weekly(i: Inputs):
     """Different users per week from the days' sets: nobody counts twice."""

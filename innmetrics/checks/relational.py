@@ -652,14 +652,14 @@ def fn_json_field(i: Inputs):
 
 @check(
     "fn_json_merge",
-    """SELECT event_id, j->>'k' AS k, j->>'verified' AS verified
-       FROM (SELECT event_id, json_merge_patch(props::JSON, '{"verified": "true"}'::JSON) AS j FROM events)""",
+    """SELECT event_id, CAST(json_merge_patch(props::JSON,
+                '{"options": {"late": false}, "score": 1.5, "tags": ["a", 2, null], "verified": true}'::JSON) AS VARCHAR) AS props
+       FROM events""",
 )
 def fn_json_merge(i: Inputs):
-    merged = i.raw("events").select("event_id", json_merge("props", {"verified": "true"}).alias("props"))
-    return merged.select(
-        "event_id", json_field("props", "k").alias("k"), json_field("props", "verified").alias("verified")
-    )
+    """The whole value is compared, so types count."""
+    added = {"verified": True, "score": 1.5, "tags": ["a", 2, None], "options": {"late": False}}
+    return i.raw("events").select("event_id", json_merge("props", added).alias("props"))
 
 
 @check(

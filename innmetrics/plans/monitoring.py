@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -72,9 +73,15 @@ def json_field(text: str, field: str) -> Column:
     return F.get_json_object(text, f"$.{field}")
 
 
-def json_merge(text: str, added: Mapping[str, str]) -> Column:
-    """The flat JSON object in ``text`` with string fields added; new values win."""
-    names = F.array(*[F.lit(name) for name in added])
-    kept = F.map_filter(F.from_json(text, "map<string,string>"), lambda k, _: ~F.array_contains(names, k))
-    new = F.create_map(*[F.lit(part) for item in added.items() for part in item])
-    return F.to_json(F.map_concat(kept, new))
+def json_merge(text: str, added: Mapping[str, object]) -> Column:
+    """The JSON object in ``text`` with the fields of ``added``, which win, as JSON text.
+
+    Values keep their types on both sides: numbers, booleans, null, arrays and nested
+    objects; a field of both is replaced as a whole. Keys come in order. A null text, or
+    one that is no JSON object, gives null.
+    """
+    fields = "map<string,variant>"
+    new = F.variant_get(F.parse_json(F.lit(json.dumps(added))), "$", fields)
+    own = F.try_variant_get(F.try_parse_json(text), "$", fields)
+    kept = F.map_filter(own, lambda name, _: ~F.map_contains_key(new, name))
+    return F.to_json(F.to_variant_object(F.map_concat(kept, new)))

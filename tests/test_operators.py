@@ -1,5 +1,6 @@
 """Operators against brute force on random data with hot keys, copies and ties."""
 
+import json
 import math
 import random
 import re
@@ -20,7 +21,9 @@ from innmetrics.operators.ranking import top_per_key
 from innmetrics.operators.share import count_shares
 from innmetrics.operators.slots import slot
 from innmetrics.plans import synth
+from innmetrics.plans.monitoring import json_merge
 from innmetrics.plans.scoring import batch_score, linear_score
+from innmetrics.plans.spans import span_tree
 
 START = datetime(2024, 1, 1)
 
@@ -117,6 +120,37 @@ def test_count_within_equals_brute_force(spark, seed, reach):
     assert {r.id: r.events for r in found.collect()} == expected and max(expected.values()) > 20
 
 
+def test_span_tree(spark):
+    """Three levels, an unknown parent, two traces with the same ids, cycles, a long chain."""
+    spans = [("t", 1, None, 100), ("t", 2, 1, 60), ("t", 3, 2, 50), ("t", 4, 2, 5), ("t", 5, 99, 7)]
+    spans += [("u", 1, 2, 1), ("u", 2, None, 10), ("u", 3, 3, 4)]  # 3 is its own parent
+    spans += [("c", 1, 3, 1), ("c", 2, 1, 1), ("c", 3, 2, 1), ("c", 4, 3, 9), ("c", 5, None, 2), ("c", 6, 5, 1)]
+    spans += [("long", n, n - 1 if n else None, 1) for n in range(200)]
+    frame = spark.createDataFrame(spans, "trace string, id long, parent long, ms long")
+    found = {(r.trace, r.id): (r.depth, r.path, r.own_time) for r in span_tree(frame, ["trace"], "id", "parent", "ms").collect()}
+    assert len(found) == len(spans)
+    assert [found["t", n] for n in (1, 2, 3, 4, 5)] == [
+        (0, "1", 40), (1, "1/2", 5), (2, "1/2/3", 50), (2, "1/2/4", 5), (0, "5", 7)
+    ]
+    assert [found["u", n][:2] for n in (1, 2, 3)] == [(1, "2/1"), (0, "2"), (None, None)]
+    assert [found["c", n][:2] for n in range(1, 7)] == [(None, None)] * 4 + [(0, "5"), (1, "5/6")]
+    assert found["long", 199] == (199, "/".join(map(str, range(200))), 1)
+    assert span_tree(frame.limit(0), ["trace"], "id", "parent", "ms").count() == 0
+
+
+def test_json_merge_keeps_types(spark):
+    texts = ['{"a": 1, "b": {"c": true}, "n": null, "big": 12345678901234567890, "f": 0.1}', '{"z": "1", "b": [1, {"x": "é"}]}',
+             "{}", None, "[1]", "7", "broken {"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    merged = [r[0] for r in frame.select(json_merge("t", {"a": "1", "b": {"new": [True, None, 2.5]}})).collect()]
+    assert [m and json.loads(m) for m in merged] == [
+        {"a": "1", "b": {"new": [True, None, 2.5]}, "n": None, "big": 12345678901234567890, "f": 0.1},
+        {"a": "1", "b": {"new": [True, None, 2.5]}, "z": "1"},
+        {"a": "1", "b": {"new": [True, None, 2.5]}},
+        None, None, None, None,
+    ]
+
+
 def test_slots_go_on_before_1970(spark):
     times = spark.createDataFrame([(t,) for t in (-21, -20, -1, 0, 9, 10, 2**62)], "t long")
     assert [r[0] for r in times.select(slot(F.col("t"), 10)).collect()] == [-3, -2, -1, 0, 0, 1, 2**62 // 10]

@@ -12,7 +12,8 @@ SF_DIR = "/root/testdata/sf0.001"
 #: Queries that write and read back; their plans are those of the datasets they write.
 WRITING = {
     "mv_refresh", "sync_all_summary", "snapshot_sync", "incremental_upsert", "stream_upsert",
-    "stream_silver_clickstream", "table_crud", "quality_report",
+    "stream_silver_clickstream", "table_crud", "quality_report", "incremental_city_funnel", "city_funnel_weekly",
+    "span_tree",
 }
 #: Queries on generated traffic write it first.
 ON_TRAFFIC = {"events_per_booking", "temporal_distribution", "invalid_events", "validation_verdicts"}
