@@ -13,12 +13,13 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from innmetrics.config import Config
-from innmetrics.plans.pipeline import Marketplace, refresh
+from innmetrics.plans.pipeline import Marketplace, quality_report, refresh
 from innmetrics.plans.silver import silver_clickstream
 from innmetrics.plans.synth import synthetic_clickstream
 from innmetrics.sources.serving import sync_all
 from innmetrics.sources.tables import SCHEMAS, MarketTables
 from innmetrics.streaming.ingest import file_stream, ingest_clickstream
+from innmetrics.streaming.rules import logged_violations
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -38,8 +39,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("innmetrics").getOrCreate()
     if options.job == "ingest":
         source = file_stream(spark, options.clicks, SCHEMAS["clickstream"])
-        query = ingest_clickstream(source, f"{options.output}/events", f"{options.output}/checkpoint")
-        print(query.lastProgress and dict(query.lastProgress["observedMetrics"]))
+        ingest_clickstream(source, f"{options.output}/events", f"{options.output}/checkpoint", f"{options.output}/rules")
+        print(logged_violations(spark, f"{options.output}/rules"))
         return
     renamed = {"clickstream": options.clickstream} if options.clickstream else {}
     if options.parquet:
@@ -56,8 +57,9 @@ def main(arguments: list[str] | None = None) -> None:
         columns = silver_clickstream(tables.clickstream).schema
         streamed = spark.read.schema(columns).parquet(options.streamed).select(*columns.names)
     written, violations = refresh(Marketplace(tables, config), options.output, streamed, f"{options.output}/_days", options.keep)
-    for dataset, counts in violations.items():
-        print(dataset, counts)
+    if options.streamed:  # the rules of events were counted by ingest
+        violations |= logged_violations(spark, f"{options.streamed.rsplit('/', 1)[0]}/rules")
+    quality_report(spark, violations).show(100, truncate=False)
     if options.publish:
         sync_all(spark, written, options.publish, f"{options.output}/serving").show(truncate=False)
 

@@ -3,9 +3,10 @@
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
-from market_rows import booking, event, rows
+from market_rows import at, booking, event, rows
 from pyspark.sql import functions as F
 
 from innmetrics.config import Config
@@ -18,6 +19,7 @@ from innmetrics.sources.serving import DuplicateKeyError, ServingTable, SyncTarg
 from innmetrics.sources.tables import SCHEMAS
 from innmetrics.streaming.changes import current_rows, fold, stream_changes
 from innmetrics.streaming.ingest import file_stream, ingest_clickstream
+from innmetrics.streaming.rules import logged_violations
 
 _SCHEMA = "k long, at long, v string"
 
@@ -350,7 +352,7 @@ def test_ingest_is_incremental_and_equals_the_batch(market, spark):
         spark.createDataFrame(drop, SCHEMAS["clickstream"]).write.parquet(f"{root}/in/drop{n}")
         source = file_stream(spark, f"{root}/in/*", SCHEMAS["clickstream"])
         query = ingest_clickstream(source, f"{root}/out", f"{root}/checkpoint")
-        counted.append(query.lastProgress["observedMetrics"]["clickstream_quality"])
+        counted.append(query.lastProgress["observedMetrics"]["silver_clickstream"])
     source = file_stream(spark, f"{root}/in/*", SCHEMAS["clickstream"])
     ingest_clickstream(source, f"{root}/out", f"{root}/checkpoint")
     batch = market(clickstream=drops[0] + drops[1]).silver_clickstream
@@ -360,6 +362,41 @@ def test_ingest_is_incremental_and_equals_the_batch(market, spark):
     assert seen == [(3, 1, 1), (2, 0, 1)]
 
 
+def test_rule_counts_outlive_the_query_and_count_a_batch_once(market, spark):
+    root = work_folder(spark, "test")
+    drops = [[event(1, 1), event(1, 1, "hover"), event(None, 1)], [event(2, None, "search"), event(None, 2, "hover")]]
+    run = lambda: ingest_clickstream(
+        file_stream(spark, f"{root}/in/*", SCHEMAS["clickstream"], files_per_batch=1),
+        f"{root}/out", f"{root}/checkpoint", f"{root}/rules",
+    )
+    assert logged_violations(spark, f"{root}/rules") == {}
+    for n, drop in enumerate(drops):
+        spark.createDataFrame(drop, SCHEMAS["clickstream"]).coalesce(1).write.parquet(f"{root}/in/drop{n}")
+        run()
+    expected = {"silver_clickstream": {"row_count": 5, "valid_user_id": 2, "valid_event": 2}}
+    assert logged_violations(spark, f"{root}/rules") == expected
+    report = rows(quality_report(spark, logged_violations(spark, f"{root}/rules")))
+    assert ("silver_clickstream", "valid_event", "drop", 3, 2) in report
+    run()  # nothing new
+    for place in (f"{root}/checkpoint/commits", f"{root}/out/_spark_metadata"):  # the last batch failed: it runs again
+        Path(f"{place}/1").unlink()
+        Path(f"{place}/.1.crc").unlink(missing_ok=True)
+    query = run()
+    assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [1]
+    assert logged_violations(spark, f"{root}/rules") == expected
+    assert spark.read.parquet(f"{root}/out").count() == 2
+
+
+def test_a_batch_adds_few_files_to_a_date(market, spark):
+    root = work_folder(spark, "test")
+    events = [event(user, 1, when=at(1 + user % 3, 1)) for user in range(300)]
+    spark.createDataFrame(events, SCHEMAS["clickstream"]).repartition(12).write.parquet(f"{root}/in/drop")
+    source = file_stream(spark, f"{root}/in/*", SCHEMAS["clickstream"])
+    ingest_clickstream(source, f"{root}/out", f"{root}/checkpoint", files_per_date=1)
+    stored = spark.read.parquet(f"{root}/out")
+    assert stored.count() == 300 and len(stored.inputFiles()) == 3
+
+
 def test_browse_only_rule_is_checked(market):
     m = market(clickstream=[event(200_000, 1), event(200_001, 1), event(5, 1)], bookings=[])
     assert rows(validate.nonbooking_check(m.tables.clickstream, m.tables.bookings, Config())) == [(2, 0)]
