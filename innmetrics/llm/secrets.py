@@ -13,6 +13,8 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +31,14 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{16,}")
-_PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s:,.-]*?)-----END \1-----"
-)
+_PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
 _KEY64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Base64 over several lines, whose ends may be spelled \\n as in source code and JSON.
+_WRAPPED64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{40,}(?:\r?\n|(?:\\r)?\\n)[ \t]*)+[A-Za-z0-9+/_-]+={0,2}"
+)
+_SPELLED_END = re.compile(r"(?:\\r)?\\n")
 _KEYHEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){32,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){32,}(?![0-9A-Za-z])")
 
 # Names that open the blobs of SSH keys.
@@ -52,7 +57,7 @@ Span = tuple[int, int, str]
 
 def decoded64(text: str) -> bytes | None:
     """Bytes of standard or URL-safe base64 with or without padding; None if it is neither."""
-    body = re.sub(r"\s+", "", text).rstrip("=").replace("-", "+").replace("_", "/")
+    body = re.sub(r"\s+", "", _SPELLED_END.sub("", text)).rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
     try:
@@ -114,7 +119,12 @@ def is_ssh_key(raw: bytes) -> bool:
 
 
 def is_key(raw: bytes | None) -> bool:
-    return raw is not None and (is_der_key(raw) or is_ssh_key(raw))
+    """DER, an SSH blob, or the text of a PEM file, which may itself have been encoded."""
+    if raw is None:
+        return False
+    if b"-----BEGIN" in raw:
+        return bool(pem_spans(raw.decode("ascii", errors="replace")))
+    return is_der_key(raw) or is_ssh_key(raw)
 
 
 def is_token(header: str, payload: str, signature: str) -> bool:
@@ -133,7 +143,7 @@ def is_token(header: str, payload: str, signature: str) -> bool:
 def is_pem(body: str) -> bool:
     """Encrypted keys carry header lines before the base64; their bytes can't be parsed
     further, so decoding is all that is asked of them."""
-    lines = [line.strip() for line in body.strip().splitlines()]
+    lines = [line.strip() for line in _SPELLED_END.sub("\n", body).strip().splitlines()]
     plain = [line for line in lines if ":" not in line]
     raw = decoded64("".join(plain))
     if raw is None or len(raw) < 16:
@@ -141,6 +151,20 @@ def is_pem(body: str) -> bool:
     return len(plain) < len(lines) or is_key(raw)
 
 
+def pem_spans(text: str) -> list[Span]:
+    """A BEGIN line and the END line of the same name, if that is the next such line, with
+    what parses between them: one look at every mark, however many have no end."""
+    spans, begin = [], None
+    for mark in _PEM_MARK.finditer(text):
+        if mark[1] == "BEGIN":
+            begin = mark
+        elif begin is not None:
+            if begin[2] == mark[2] and is_pem(text[begin.end() : mark.start()]):
+                spans.append((begin.start(), mark.end(), "pem"))
+            begin = None
+    return spans
+
+
 def base_spans(text: str) -> list[Span]:
     spans = []
     if "=" in text or ":" in text:
@@ -156,18 +180,26 @@ def confirmed_spans(text: str) -> list[Span]:
     reported again."""
     spans: list[Span] = []
     if "-----BEGIN" in text:
-        spans += [(*m.span(), "pem") for m in _PEM.finditer(text) if is_pem(m[2])]
+        spans += pem_spans(text)
     if "eyJ" in text:
         spans += [(*m.span(), "token") for m in _TOKEN.finditer(text) if is_token(*m.groups())]
-    taken = list(spans)
-    for kind, pattern, decode in (("key64", _KEY64, decoded64), ("keyhex", _KEYHEX, bytes.fromhex)):
+    encoded = (("key64", _WRAPPED64, decoded64), ("key64", _KEY64, decoded64), ("keyhex", _KEYHEX, bytes.fromhex))
+    for kind, pattern, decode in encoded:
+        starts, reach = _taken(spans)
         for m in pattern.finditer(text):
-            inside = any(start <= m.start() and m.end() <= end for start, end, _ in taken)
+            before = bisect_right(starts, m.start())
+            inside = before > 0 and m.end() <= reach[before - 1]
             if not inside and is_key(decode(m[0])):
                 spans.append((*m.span(), kind))
     return spans
 
 
+def _taken(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts in order, and how far the spans up to each of them reach."""
+    ordered = sorted(spans)
+    return [start for start, *_ in ordered], list(accumulate((end for _, end, _ in ordered), max))
+
+
 def listed(spans: list[Span]) -> str:
     spans = sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)

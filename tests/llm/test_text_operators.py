@@ -4,6 +4,8 @@ import base64
 import hashlib
 import json
 import random
+import re
+import time
 
 import public_tokenizers
 import pytest
@@ -87,6 +89,51 @@ def test_secrets_are_confirmed_by_structure():
     assert kinds(pem.replace(key64, "bm90IGEga2V5IGF0IGFsbCwganVzdCB0ZXh0")) == []
 
 
+def test_secrets_in_other_writings():
+    """Spelled line ends, base64 over several lines, a PEM file that was encoded again."""
+    key64 = base64.b64encode(KEY).decode()
+    lines = [key64[i : i + 44] for i in range(0, len(key64), 44)]
+    pem = lambda end: end.join(["-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----"])
+    for end in ("\n", "\r\n", "\\n", "\\r\\n"):
+        assert kinds(f'x = "{pem(end)}" end') == ["pem"], end
+        assert kinds(f"bare {end.join(lines)} end") == ["key64"], end
+    assert kinds("data " + base64.b64encode(pem("\n").encode()).decode() + " end") == ["key64"]
+    assert kinds("bare " + "\n".join(["A" * 44] * 5)) == []
+    other = "-----BEGIN RSA PRIVATE KEY-----\nabc\n" + pem("\n")  # the first has no end of its own
+    assert kinds(other) == ["pem"]
+    assert kinds(pem("\n").replace("END RSA", "END DSA")) == ["key64"]
+
+
+def test_marks_without_ends_take_linear_time():
+    begin = "-----BEGIN RSA PRIVATE KEY-----\nAAAA\n"
+    started = time.process_time()
+    assert secrets.confirmed_spans(begin * (5_000_000 // len(begin))) == []
+    tokens = " ".join([token({"alg": "none"})] * 2000) + " " + " ".join(["a" * 64] * 20000)
+    assert len(secrets.confirmed_spans(tokens)) == 2000
+    assert time.process_time() - started < 8
+
+
+def plain_base(text):
+    """The base kinds, straight from their definition."""
+    assign = r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text, re.I | re.A) if len(m[1]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return ",".join(f"{('assign', 'access', 'hex')[kind]}:{start}:{end}" for start, kind, end in sorted(found))
+
+
+def test_base_secrets_equal_the_plain_patterns(spark):
+    rnd = random.Random(11)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", "AKIA", "=", ":", " ", '"', "'", "é", "\u0130", "\u017f",
+             "ABCDEFGH", "0123456789abcdef", "deadbeef", "x", "-", "\n", "\t"]
+    docs = [(i, "".join(rnd.choices(parts, k=rnd.randint(0, 25)))) for i in range(3000)] + [(-1, None), (-2, "")]
+    made = secrets.scan_secrets(frame(spark, docs)).collect()
+    assert {(r.doc_id, r.base_spans) for r in made} == {(i, plain_base(t or "")) for i, t in docs}
+    for r in made:
+        assert set(filter(None, r.base_spans.split(","))) <= set(r.spans.split(","))
+    assert secrets.scan_secrets(frame(spark, [])).count() == 0
+
+
 def test_plain_secrets_and_masking(spark):
     text = "Password = 'abc' é TOKEN:\"abcdefghijkl\" AKIAABCDEFGHIJKLMN AKIA12 0123456789abcdef 0123456789abcde"
     docs = [(1, text), (1, text), (2, None), (3, "")]
