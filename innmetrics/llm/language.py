@@ -13,18 +13,22 @@ from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innmetrics.llm.common import arrow_pass, written
+from innmetrics.llm.common import arrow_pass, arrow_schema, written
 
 ORDER = 4
+#: Log probability of a character that a language never had.
+UNSEEN = np.log(1e-5)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 @dataclass(frozen=True)
 class LanguageSettings:
-    #: Numbers that the model may hold; the runs kept per language follow from it.
+    #: Numbers of a model that is sent to the tasks; a larger one is joined with the texts.
     model_cells: int = 16_000_000
     #: Share of a language's training texts below its rejection limit, and what is added.
     quantile: float = 0.999
@@ -113,145 +117,216 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     return whole
 
 
-def hash_runs(codes: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all runs of ``size`` codes, in order."""
-    n = len(codes) - size + 1
-    mixed = np.full(max(0, n), np.uint64(size + 1))
-    with np.errstate(over="ignore"):
-        for i in range(size if n > 0 else 0):
-            mixed = (mixed ^ codes[i : i + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-    return mixed
-
-
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 class CharacterModel:
-    """For each size the sorted hashes of runs that some language keeps, with one column of
-    log probabilities per language; the same for what contexts leave to shorter ones."""
-
-    def __init__(self, rows, languages: list[str]):
-        self.languages = languages
-        self.runs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.backoffs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        column = {lang: i for i, lang in enumerate(languages)}
-        known: dict[tuple[int, bool], dict[str, np.ndarray]] = defaultdict(dict)
-        for lang, size, run, p, backoff in rows:
-            kept = known[size, p is None]
-            kept.setdefault(run, np.full(len(languages), np.nan))[column[lang]] = np.log(backoff if p is None else p)
-        unseen = np.log(1e-5)
-        for size in range(1, ORDER + 1):
-            left = known[size, True]
-            keys = [int(hash_runs(_codes(run), size - 1)[0]) if size > 1 else 0 for run in left]
-            self.backoffs[size] = _sorted(keys, [np.where(np.isnan(v), 0.0, v) for v in left.values()], len(languages))
-            own = known[size, False]
-            runs = list(own)
-            values = np.array([own[r] for r in runs]).reshape(len(runs), len(languages))
-            if size == 1:
-                values = np.where(np.isnan(values), unseen, values)
-            elif runs:
-                text = "".join(runs)
-                shorter = self.log_p(_codes(text), size - 1)[size - 1 :: size]
-                context = hash_runs(_codes(text), size - 1)[::size]
-                values = np.where(np.isnan(values), shorter + self.left_over(context, size), values)
-            keys = [int(hash_runs(_codes(run), size)[0]) for run in runs]
-            self.runs[size] = _sorted(keys, list(values), len(languages))
-        self.unseen = unseen
-
-    def left_over(self, contexts: np.ndarray, size: int) -> np.ndarray:
-        keys, values = self.backoffs[size]
-        return _looked_up(keys, values, contexts, 0.0)
-
-    def log_p(self, codes: np.ndarray, size: int) -> np.ndarray:
-        """Log probability of each code after up to size - 1 codes before it; the first
-        ones, with fewer before them, are left at 0."""
-        hashes = hash_runs(codes, size)
-        keys, values = self.runs[size]
-        found = np.zeros((len(codes), len(self.languages)))
-        own = _looked_up(keys, values, hashes, np.nan)
-        missing = np.flatnonzero(np.isnan(own[:, 0])) if len(own) else np.zeros(0, np.int64)
-        if len(missing):
-            if size == 1:
-                own[missing] = self.unseen if hasattr(self, "unseen") else np.log(1e-5)
-            else:
-                # each missing run by itself, one after the other
-                rows = codes[missing[:, None] + np.arange(size)].reshape(-1)
-                shorter = self.log_p(rows[: len(rows)], size - 1)[size - 1 :: size]
-                own[missing] = shorter + self.left_over(hash_runs(rows, size - 1)[::size], size)
-        found[size - 1 :] = own
+    """Sorted hashes of character runs, and for each run one column per language with the
+    log probability of its last character (nan where the language never had it) and one
+    with what it leaves, as a context, to shorter ones (0 where it leaves all)."""
+
+    def __init__(self, keys: np.ndarray, sizes: np.ndarray, marks: np.ndarray, values: np.ndarray, width: int):
+        """``sizes`` entries of each key: a mark is 2 * language, plus 1 for what is left."""
+        self.width = width
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        row = np.empty(len(keys), np.int64)
+        row[order] = np.arange(len(keys))
+        row = np.repeat(row, sizes)
+        held = np.zeros((2, len(keys), width), np.float32)
+        held[0] = np.nan
+        held[marks & 1, row, marks >> 1] = values
+        self.own, self.left = held
+
+    def _rows(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, hashes)
+        at[at == len(self.keys)] = 0
+        return at, (self.keys[at] == hashes) if len(self.keys) else np.zeros(len(hashes), bool)
+
+    def log_p(self, runs: np.ndarray) -> np.ndarray:
+        """Log probability in each language of the last of the codes in each row."""
+        size = runs.shape[1]
+        at, known = self._rows(hash_rows(runs))
+        found = np.full((len(runs), self.width), np.nan)
+        found[known] = self.own[at[known]]
+        if size == 1:
+            return np.where(np.isnan(found), UNSEEN, found)
+        short = np.flatnonzero(np.isnan(found).any(axis=1))
+        if len(short):
+            at, known = self._rows(hash_rows(runs[short, :-1]))
+            left = np.where(known[:, None], self.left[at], 0.0) if len(self.keys) else 0.0
+            fallen = self.log_p(runs[short, 1:]) + left
+            found[short] = np.where(np.isnan(found[short]), fallen, found[short])
         return found
 
     def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities per language and numbers of predicted characters of words."""
-        lengths = np.array([len(w) + ORDER for w in words], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        codes = _codes(_padded(words))
-        scores = self.log_p(codes, ORDER)
-        place = np.arange(len(codes)) - np.repeat(starts, lengths)
-        scores[place < ORDER - 1] = 0
-        return np.add.reduceat(scores, starts, axis=0), lengths - (ORDER - 1)
-
+        """Log probabilities per language and numbers of predicted characters of words.
+        Each different run of the words is looked up once."""
+        held = PaddedWords(words)
+        scores = np.zeros((len(held.codes), self.width))
+        scores[held.ends] = self.log_p(held.rows[held.firsts])[held.which]
+        return np.add.reduceat(scores, held.starts, axis=0), held.lengths - (ORDER - 1)
+
+
+class PaddedWords:
+    """The runs of ORDER characters that words are predicted by."""
+
+    def __init__(self, words: list[str]):
+        self.lengths = np.array([len(w) + ORDER for w in words], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.codes = _codes(_padded(words))
+        place = np.arange(len(self.codes)) - np.repeat(self.starts, self.lengths)
+        self.ends = np.flatnonzero(place >= ORDER - 1)
+        self.rows = np.stack([self.codes[self.ends - back] for back in range(ORDER - 1, -1, -1)], axis=1)
+        _, self.firsts, self.which = np.unique(hash_rows(self.rows), return_index=True, return_inverse=True)
+
+    def keys(self) -> np.ndarray:
+        """Hashes of all that scoring may look up: every run, its contexts and its endings."""
+        runs = self.rows[self.firsts]
+        parts = [hash_rows(runs[:, low:high]) for low in range(ORDER) for high in range(low + 1, ORDER + 1)]
+        return np.unique(np.concatenate([hash_rows(runs[:1, :0]), *parts]))
+
+
+def hash_rows(runs: np.ndarray) -> np.ndarray:
+    """Hash of the codes in each row; rows of another width have other hashes."""
+    mixed = np.full(len(runs), np.uint64(runs.shape[1] + 1))
+    with np.errstate(over="ignore"):
+        for i in range(runs.shape[1]):
+            mixed = (mixed ^ runs[:, i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+    return mixed.view(np.int64)
 
-def _sorted(keys: list[int], values: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
-    hashed = np.array(keys, np.uint64)
-    order = np.argsort(hashed)
-    return hashed[order], np.array(values, np.float32).reshape(len(keys), width)[order]
 
+@dataclass(frozen=True)
+class TrainedModel:
+    """The whole model as a written table (key, marks, values), and its languages in order.
+    ``held`` is the same in arrays, if it is small enough to be sent to every task."""
 
-def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, other: float) -> np.ndarray:
-    if not len(keys):
-        return np.full((len(asked), values.shape[1]), other)
-    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return np.where((keys[at] == asked)[:, None], values[at], other)
+    table: DataFrame
+    languages: list[str]
+    held: CharacterModel | None
 
 
-def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> CharacterModel | None:
+def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> TrainedModel | None:
     """The model of all rows with a language (text, lang); None if there are none.
 
-    Counts and probabilities cover every text. The model that tasks hold keeps the
-    commonest runs of each size and language, so many that it has at most about
-    ``model_cells`` numbers; other runs are scored by what their contexts leave over.
+    Counts and probabilities cover every text, and every run that any language had is kept.
     """
     counts = written(run_counts(docs.where("lang IS NOT NULL")), "language-runs")
     languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
-    each = max(100, settings.model_cells // (2 * ORDER * len(languages) ** 2))
-    table = written(kneser_ney(counts), "language-model")
-    order = Window.partitionBy("lang", "size", F.col("p").isNull()).orderBy(F.desc("n"), "run")
-    kept = table.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
-    found = kept.select("lang", "size", "run", "p", "backoff").toArrow().to_pydict()
-    return CharacterModel(zip(*found.values()), languages)
+    place = {lang: i for i, lang in enumerate(languages)}
+
+    def step(langs, runs, values, kinds):
+        by_size = defaultdict(list)
+        for i, run in enumerate(runs):
+            by_size[len(run)].append(i)
+        keys = np.zeros(len(runs), np.int64)
+        for size, at in by_size.items():
+            keys[at] = hash_rows(_codes("".join(runs[i] for i in at)).reshape(len(at), size))
+        marks = [2 * place[lang] + kind for lang, kind in zip(langs, kinds)]
+        return keys, marks, np.log(np.array(values, np.float64))
+
+    rows = kneser_ney(counts).select(
+        "lang", "run", F.coalesce("p", "backoff").alias("value"), F.col("p").isNull().cast("int").alias("kind")
+    )
+    hashed = arrow_pass(rows, ["lang", "run", "value", "kind"], "key BIGINT, mark INT, value DOUBLE", step, 65536)
+    entry = F.collect_list(F.struct("mark", "value")).alias("entries")  # two per language at most
+    keyed = hashed.groupBy("key").agg(entry).select(
+        "key", F.col("entries.mark").alias("marks"), F.col("entries.value").cast("array<float>").alias("values")
+    )
+    table = written(keyed, "language-model")
+    small = 2 * table.count() * len(languages) <= settings.model_cells
+    return TrainedModel(table, languages, model_of(table.toArrow(), len(languages)) if small else None)
 
 
-def cross_entropies(docs: DataFrame, model: CharacterModel | None, *carried: str) -> DataFrame:
+def model_of(rows: pa.Table, width: int) -> CharacterModel:
+    rows = rows.combine_chunks()
+    flat = lambda name: rows.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sizes = rows.column("marks").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+    return CharacterModel(rows.column("key").to_numpy(), sizes, flat("marks"), flat("values"), width)
+
+
+class CountedWords:
+    """The different words of some texts, and how often each text has which."""
+
+    def __init__(self, texts: list):
+        counts = [Counter(letter_words(t)) for t in texts]
+        place: dict[str, int] = {}
+        at = [place.setdefault(word, len(place)) for c in counts for word in c]
+        self.words = list(place)
+        self.sizes = np.array(list(map(len, counts)), np.int64)
+        self.at = np.array(at, np.int64)
+        self.times = np.array([n for c in counts for n in c.values()], np.int64)
+
+
+def bits_per_character(words: list[str], sizes, at, times, model: CharacterModel) -> list:
+    """Cross-entropy of each text in every language; None for texts without words."""
+    if not words:
+        return [None] * len(sizes)
+    scores, lengths = model.word_scores(words)
+    ends = np.cumsum(sizes)
+    running = lambda values: np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
+    sums, chars = running(scores[at] * times[:, None]), running(lengths[at] * times)
+    bits = -(sums[ends] - sums[ends - sizes])
+    totals = chars[ends] - chars[ends - sizes]
+    return [b / n / np.log(2) if n else None for b, n in zip(bits, totals)]
+
+
+def cross_entropies(docs: DataFrame, model: TrainedModel | None, *carried: str) -> DataFrame:
     """Bits per character of every whole text in each language of the model, in its order
     (null if the text has no letter), with the columns ``carried``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    if model is not None and model.held is None:
+        return _joined_cross_entropies(docs, model, *carried)
+    sent = docs.sparkSession.sparkContext.broadcast(model and model.held)
 
     def step(texts, *others):
-        own = sent.value
-        counts = [Counter(letter_words(t)) for t in texts]
-        words = list({w for c in counts for w in c})
-        if own is None or not words:
+        if sent.value is None:
             return [[None] * len(texts), *others]
-        scores, sizes = own.word_scores(words)
-        place = {w: i for i, w in enumerate(words)}
-        bits = []
-        for c in counts:
-            if not c:
-                bits.append(None)
-                continue
-            at = np.fromiter(map(place.__getitem__, c), np.int64, count=len(c))
-            times = np.fromiter(c.values(), np.float64, count=len(c))
-            bits.append(-(times @ scores[at]) / (times @ sizes[at]) / np.log(2))
-        return [bits, *others]
+        counted = CountedWords(texts)
+        return [bits_per_character(counted.words, counted.sizes, counted.at, counted.times, sent.value), *others]
+
+    return arrow_pass(docs, ["text", *carried], _bits_ddl(docs, carried), step)
+
+
+def _bits_ddl(docs: DataFrame, carried) -> str:
+    kinds = dict(docs.dtypes)
+    return "bits ARRAY<DOUBLE>" + "".join(f", {c} {kinds[c].upper()}" for c in carried)
+
 
+def _joined_cross_entropies(docs: DataFrame, model: TrainedModel, *carried: str, rows_of_block: int = 1024) -> DataFrame:
+    """The same with a model of any size: blocks of texts name the runs they need, Spark
+    joins these with the model table, and each block gets a model of its own runs."""
     kinds = dict(docs.dtypes)
-    ddl = "bits ARRAY<DOUBLE>" + "".join(f", {c} {kinds[c].upper()}" for c in carried)
-    return arrow_pass(docs, ["text", *carried], ddl, step)
+    of_block = ["words ARRAY<STRING>", "sizes ARRAY<BIGINT>", "at ARRAY<BIGINT>", "times ARRAY<BIGINT>", "keys ARRAY<BIGINT>"]
+    ddl = ", ".join(["block BIGINT", *of_block, *[f"{c} ARRAY<{kinds[c].upper()}>" for c in carried]])
+    schema, width = arrow_schema(ddl), len(model.languages)
+
+    def blocks(batches):
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows_of_block):
+                texts, *others = [c.to_pylist() for c in batch.slice(start, rows_of_block).columns]
+                own = CountedWords(texts)
+                keys = PaddedWords(own.words).keys() if own.words else []
+                row = (number, own.words, own.sizes, own.at, own.times, keys, *others)
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
+                number += 1
+
+    made = written(docs.select("text", *carried).mapInArrow(blocks, ddl), "language-blocks")
+    asked = made.select(F.col("block").alias("of_block"), F.explode("keys").alias("key")).join(model.table, "key")
+    out_ddl = _bits_ddl(docs, carried)
+
+    def finish(key, own: pa.Table, found: pa.Table) -> pa.Table:
+        held = {name: own.column(name)[0] for name in own.column_names}
+        numbers = [np.array(held[c].values, np.int64) for c in ("sizes", "at", "times")]
+        bits = bits_per_character(held["words"].as_py(), *numbers, model_of(found, width))
+        arrays = [pa.array(bits, pa.list_(pa.float64())), *[held[c].values for c in carried]]
+        return pa.Table.from_arrays(arrays, schema=arrow_schema(out_ddl))
+
+    return made.drop("keys").groupBy("block").cogroup(asked.groupBy("of_block")).applyInArrow(finish, out_ddl)
 
 
 def identify(docs: DataFrame, learn: Column, settings: LanguageSettings = LanguageSettings()) -> DataFrame:

@@ -52,13 +52,64 @@ def test_word_scores_sum_their_characters(spark):
     words = "abba abab cab bad dab a bb acab dabba".split()
     model = language.train(spark.createDataFrame([("x", " ".join(words)), ("y", "zed zoo zzz")], "lang STRING, text STRING"))
     expected = plain_kneser_ney(words)
-    scores, sizes = model.word_scores(["abba", "cab"])
+    scores, sizes = model.held.word_scores(["abba", "cab"])
     for word, score, size in zip(("abba", "cab"), scores[:, 0], sizes):
         held = "   " + word + " "
         assert size == len(word) + 1
         assert math.isclose(score, sum(math.log(expected[held[i : i + 4]]) for i in range(size)), rel_tol=1e-4)
 
 
+def plain_bits(models, text):
+    """Bits per character in each language, run by run, with backing off by the formula."""
+
+    def log_p(of, run):
+        p, left = of
+        if run in p:
+            return math.log(p[run])
+        if len(run) == 1:
+            return math.log(1e-5)
+        return math.log(left.get(run[:-1], 1.0)) + log_p(of, run[1:])
+
+    found = []
+    for of in models:
+        total = chars = 0
+        for word in language.letter_words(text):
+            held = "   " + word + " "
+            for i in range(len(word) + 1):
+                total, chars = total + log_p(of, held[i : i + 4]), chars + 1
+        found.append(-total / chars / math.log(2) if chars else None)
+    return found
+
+
+def test_sixty_languages_are_scored_by_all_their_runs(spark):
+    """Held in arrays or joined, the model gives what the formula gives, nothing cut."""
+    rnd = random.Random(60)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñçабвгдеж中文字語漢字"
+    words = lambda own, n: " ".join("".join(rnd.choices(own, k=rnd.randint(1, 9))) for _ in range(n))
+    alphabets = {f"l{i:02d}": rnd.sample(letters, 12) for i in range(60)}
+    docs = [(i, words(alphabets[f"l{i % 60:02d}"], 40), f"l{i % 60:02d}") for i in range(240)] + [(900, None, "l00"), (901, "1 2", "l01")]
+    frame_ = spark.createDataFrame(docs, "doc_id BIGINT, text STRING, lang STRING")
+    table_ = language.kneser_ney(language.run_counts(frame_)).collect()
+    models = []
+    for lang in sorted(alphabets):
+        rows = [r for r in table_ if r.lang == lang]
+        models.append(({r.run: r.p for r in rows if r.p is not None}, {r.run: r.backoff for r in rows if r.p is None}))
+    expected = {i: plain_bits(models, text or "") for i, text, _ in docs}
+    for cells in (10**9, 0):
+        model = language.train(frame_, language.LanguageSettings(model_cells=cells))
+        assert (model.held is None) == (cells == 0)
+        made = language.cross_entropies(frame_.repartition(3), model, "doc_id").collect()
+        assert len(made) == len(docs)
+        for r in made:
+            if expected[r.doc_id][0] is None:
+                assert r.bits is None
+            else:
+                assert all(math.isclose(x, y, rel_tol=1e-4) for x, y in zip(r.bits, expected[r.doc_id]))
+    told = language.identify(frame_, F.lit(True), language.LanguageSettings(model_cells=0)).collect()
+    right = {r.doc_id: r.lang_pred for r in told}
+    assert all(right[i] == lang for i, text, lang in docs[:240]) and right[900] == right[901] == "und"
+
+
 def test_languages_held_out(spark):
     found = QUERIES["op5_language_id"](spark, SF_DIR).join(
         table(spark, SF_DIR, "documents").select("doc_id", "lang"), "doc_id"
