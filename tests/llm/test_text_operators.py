@@ -44,6 +44,46 @@ def test_broken_pages(page, text):
     assert html.extract(page, [])[0] == text
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["overflow-hidden", "layout page-with-sidebar", "elementor-widget-text", "post-header-content", "related-topic",
+     "social-history", "has-sidebar", "w-1/2 no-comments"],
+)
+def test_a_name_alone_drops_no_article(name):
+    body = "<p>" + "the article goes on. " * 20 + "</p>"
+    page = f"<body><nav>menu</nav><div class='{name}'>{body}</div><div class='cookie-notice'>cookies</div><footer>f</footer></body>"
+    assert html.extract(page, [])[0] == ("the article goes on. " * 20).strip()
+    parts = "".join(f"<div class='{name}'>{body}</div>" for _ in range(6))
+    assert html.extract(f"<article>{parts}</article>", [])[0] == ("the article goes on. " * 120).strip()
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["ad", "ad-box", "sidebar-left", "site-header", "comments-area", "comment-list", "related-posts", "social-share",
+     "newsletter-signup", "x-cookie-hint", "acme-ad-300"],
+)
+def test_named_parts_go(name):
+    body = "<p>" + "the article goes on. " * 20 + "</p>"
+    page = f"<body><article>{body}<div class='{name}'><p>something else here</p></div>{body}</article></body>"
+    assert html.extract(page, [])[0] == ("the article goes on. " * 40).strip()
+
+
+def test_heading_and_lead_outside_the_body_belong_to_it():
+    body = "<p>" + "body text. " * 50 + "</p>"
+    for tag in ("<article>", "<div class='post'>", "<section id=story>"):
+        page = f"<body><div class=other><p>aside text</p></div>{tag}<h1>Title</h1><div class=lead><p>Lead.</p></div><div class=inner>{body}</div></body>"
+        assert html.extract(page, [])[0] == ("Title Lead. " + "body text. " * 50).strip()
+        assert html.vote(page)[0] == html.extract(page, [])[1]
+
+
+def test_deep_pages_take_linear_time():
+    started = time.process_time()
+    for tag in ("div", "b", "div class=x"):
+        assert html.extract(f"<{tag}>text " * 20000, [])[0].startswith("text text")
+        assert tag == "b" or html.vote(f"<{tag}>text " * 20000)
+    assert time.process_time() - started < 10
+
+
 def test_a_host_agrees_on_its_path(spark):
     """A page whose short article lies beside a longer box follows the other pages."""
     usual = "<body><div class='main-text'><p>{}</p></div><div class='box'><p>{}</p></div></body>"
