@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -27,27 +29,30 @@ class QualityRules:
     #: Below these sizes a histogram says too little and its rule passes.
     min_chars: int = 200
     min_histogram_words: int = 60
-    #: Words that make the histogram of a language, and languages with one of their own;
-    #: rows of any further language are compared with all rows together.
+    #: Words that make the histogram of a language.
     common_words: int = 40
-    languages: int = 1000
 
 
-# Classes of characters, by the first byte of their UTF-8 form.
-_CLASSES = ("lower", "upper", "digit", "white", "sentence mark", "symbol", "two bytes", "more bytes")
+# Classes of characters, told by the first byte of their UTF-8 form. The first
+# bytes from which scripts begin, up to the next line's.
+_ASCII = ("lower", "upper", "digit", "white", "sentence mark", "symbol")
+_SCRIPTS = (
+    (0xC2, "latin"), (0xCA, "phonetic"), (0xCD, "greek"), (0xD0, "cyrillic"), (0xD4, "armenian"), (0xD6, "hebrew"),
+    (0xD8, "arabic"), (0xDC, "syriac"), (0xDE, "other two bytes"), (0xE0, "indic"), (0xE1, "other three bytes"),
+    (0xE2, "general sign"), (0xE3, "kana"), (0xE4, "han"), (0xEA, "hangul"), (0xEE, "private or form"), (0xF0, "four bytes"),
+)
+_CLASSES = (*_ASCII, *[name for _, name in _SCRIPTS])
+_INSIDE = len(_CLASSES)
 
 
 def _class_of_byte() -> np.ndarray:
-    kinds = np.full(256, 5, np.int64)
-    for code in range(256):
+    kinds = np.full(256, _ASCII.index("symbol"), np.int64)
+    kinds[0x80:] = _INSIDE  # inside a character
+    for first, name in _SCRIPTS:
+        kinds[first:] = _CLASSES.index(name)
+    for code in range(128):
         ch = chr(code)
-        if 0x80 <= code < 0xC0:
-            kinds[code] = 8  # inside a character
-        elif code >= 0xE0:
-            kinds[code] = 7
-        elif code >= 0xC0:
-            kinds[code] = 6
-        elif ch.islower():
+        if ch.islower():
             kinds[code] = 0
         elif ch.isupper():
             kinds[code] = 1
@@ -65,7 +70,7 @@ _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 el
 
 
 def class_histogram(raw: bytes) -> np.ndarray:
-    return np.bincount(_KIND[np.frombuffer(raw, np.uint8)], minlength=9)[:8]
+    return np.bincount(_KIND[np.frombuffer(raw, np.uint8)], minlength=_INSIDE + 1)[:_INSIDE]
 
 
 def letter_words(raw: bytes) -> list[bytes]:
@@ -141,42 +146,38 @@ def language_histograms(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(docs: DataFrame, rules: QualityRules = QualityRules()) -> dict:
-    """lang -> (class histogram, words, their counts with that of all others last).
-
-    The key None holds all languages together. At most ``languages`` + 1 entries of some
-    50 numbers, so it can go to every task.
-    """
+def references(docs: DataFrame, rules: QualityRules = QualityRules()) -> tuple[DataFrame, str | None]:
+    """lang, reference of every language, and that of all languages together (None if no
+    text has anything). A reference holds the class histogram, the commonest words with
+    their counts and the number of all words, as JSON of some 60 entries."""
     counts = written(language_histograms(docs), "language-histograms")
+    words, classes = counts.where("kind = 'word'"), counts.where("kind = 'class'")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("size")).orderBy(F.desc("size"), "lang")
-    kept = sums.limit(rules.languages).select("lang")
-    top = (
-        counts.where("kind = 'word'")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= rules.common_words)
-        .select("lang", "kind", "item", "n")
-    )
-    totals = counts.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("n"))
-    parts = (
-        top.unionByName(counts.where("kind = 'class'"))
-        .unionByName(totals.select("lang", F.lit("total").alias("kind"), F.lit("").alias("item"), "n"))
-        .join(F.broadcast(kept), "lang")
+    top = words.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rules.common_words).drop("place")
+    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = totals.select("lang", F.lit("total").alias("kind"), F.lit("").alias("item"), "n")
+    parts = written(top.unionByName(classes).unionByName(totals), "language-references")
+    listed = lambda: F.to_json(F.sort_array(F.collect_list(F.struct("kind", "item", "n")))).alias("reference")
+    pooled = parts.groupBy("kind", "item").agg(F.sum("n").alias("n"))
+    common = pooled.where("kind = 'word'").orderBy(F.desc("n"), "item").limit(rules.common_words)
+    together = pooled.where("kind <> 'word'").unionByName(common).agg(listed()).first().reference
+    return parts.groupBy("lang").agg(listed()), together if together != "[]" else None
+
+
+@lru_cache(maxsize=4096)
+def histograms(reference: str) -> tuple[np.ndarray, dict[bytes, int], np.ndarray]:
+    """Class histogram, the words with their places, and their counts with that of all
+    others last."""
+    by_kind: dict[str, dict[str, int]] = {"class": {}, "word": {}, "total": {}}
+    for part in json.loads(reference):
+        by_kind[part["kind"]][part["item"]] = part["n"]
+    words = sorted(by_kind["word"], key=lambda w: (-by_kind["word"][w], w))
+    common = [by_kind["word"][w] for w in words]
+    return (
+        np.array([by_kind["class"].get(c, 0) for c in _CLASSES], float),
+        {w.encode(): i for i, w in enumerate(words)},
+        np.array([*common, by_kind["total"].get("", 0) - sum(common)], float),
     )
-    by_lang: dict = defaultdict(lambda: {"class": Counter(), "word": Counter(), "total": Counter()})
-    for lang, kind, item, n in sorted(map(tuple, parts.collect())):
-        by_lang[lang][kind][item] += n
-        by_lang[None][kind][item] += n
-    made = {}
-    for lang, of in by_lang.items():
-        words = sorted(of["word"], key=lambda w: (-of["word"][w], w))[: rules.common_words]
-        common = [of["word"][w] for w in words]
-        made[lang] = (
-            np.array([of["class"][c] for c in _CLASSES], float),
-            {w.encode(): i for i, w in enumerate(words)},
-            np.array([*common, of["total"][""] - sum(common)], float),
-        )
-    return made
 
 
 def distances(raw: bytes, reference: tuple, rules: QualityRules) -> tuple[float, float]:
@@ -197,27 +198,27 @@ def quality_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> Data
     """doc_id, base counts, base_failed, both distances and the verdict ``kept``.
 
     Reads doc_id, text and lang; other columns are ignored. A null text counts as empty and
-    is not kept (no words). A null or rare language is compared with all texts together.
+    is not kept (no words). Every language has a reference of its own; rows without one are
+    compared with all texts together. Equally common words count in their own order.
     Repeated rows give repeated results; an empty table gives none.
     """
-    found = references(docs, rules)
-    pooled = found.get(None)
+    found, together = references(docs, rules)
+    rows = docs.select("doc_id", "lang", "text").join(found, "lang", "left")  # a row per language
 
-    def step(ids, langs, texts):
+    def step(ids, texts, own_references):
         rows = []
-        for doc_id, lang, text in zip(ids, langs, texts):
+        for doc_id, text, own in zip(ids, texts, own_references):
             counts = base_counts(text or "")
             failed = counts[0] < rules.min_words or 100 * counts[4] > rules.max_repeat_percent * counts[0]
-            reference = found.get(lang) if lang is not None else None
-            reference = reference or pooled
-            near = distances((text or "").encode(), reference, rules) if reference else (0.0, 0.0)
+            reference = own or together
+            near = distances((text or "").encode(), histograms(reference), rules) if reference else (0.0, 0.0)
             kept = not failed and near[0] <= rules.max_class_distance and near[1] <= rules.max_word_distance
             rows.append((doc_id, *counts, failed, kept, *near))
         return list(zip(*rows))
 
     return arrow_pass(
-        docs,
-        ["doc_id", "lang", "text"],
+        rows,
+        ["doc_id", "text", "reference"],
         "doc_id BIGINT, n_words BIGINT, word_chars BIGINT, n_symbols BIGINT, n_dup_lines BIGINT, "
         "n_repeat_words BIGINT, base_failed BOOLEAN, kept BOOLEAN, class_distance DOUBLE, word_distance DOUBLE",
         step,

@@ -6,7 +6,9 @@ import json
 import random
 import re
 import time
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from helpers import ODD, PROSE, brute_rule_counts, frame, rows_of
@@ -264,6 +266,47 @@ def test_rule_counts_equal_the_plain_ones(spark):
     assert quality_rules.quality_rules(frame(spark, [])).count() == 0
 
 
+def plain_references(docs, top=40):
+    """lang -> class histogram and word counts, None for all together."""
+    made = {}
+    for lang in {lang for _, _, lang in docs}:
+        texts = [t for _, t, own in docs if own == lang and t]
+        words = Counter(w for t in texts for w in quality_rules.letter_words(t.encode()))
+        classes = sum((quality_rules.class_histogram(t.encode()) for t in texts), quality_rules.class_histogram(b""))
+        common = dict(sorted(words.items(), key=lambda x: (-x[1], x[0]))[:top])
+        made[lang] = classes, common, sum(words.values())
+    return made
+
+
+def test_every_language_is_compared_with_its_own(spark):
+    """1200 languages, by script or by words, each with a reference."""
+    rnd = random.Random(2)
+    own = {f"l{i:04d}": ["".join(rnd.choices("abcdefghij", k=4)) for _ in range(8)] for i in range(1200)}
+    docs = [(i, " ".join(rnd.choices(own[f"l{i % 1200:04d}"], k=80)), f"l{i % 1200:04d}") for i in range(1200)]
+    docs += [(5000, " ".join(rnd.choices(own["l0003"], k=80)), "l0004"), (5001, " ".join(rnd.choices(own["l1199"], k=80)), "l1199")]
+    frame_ = spark.createDataFrame(docs, "doc_id BIGINT, text STRING, lang STRING")
+    made = {r.doc_id: r for r in quality_rules.quality_rules(frame_).collect()}
+    expected = plain_references(docs)
+    for doc_id, text, lang in docs[::50] + docs[-2:]:
+        classes, common, total = expected[lang]
+        counts = Counter(quality_rules.letter_words(text.encode()))
+        p = [*common.values(), total - sum(common.values())]
+        q = [*[counts[w] for w in common], sum(counts.values()) - sum(counts[w] for w in common)]
+        distance = quality_rules.js_distance(np.array(q, float), np.array(p, float))
+        assert made[doc_id].word_distance == pytest.approx(distance)
+        plain = quality_rules.js_distance(quality_rules.class_histogram(text.encode()), classes)
+        assert made[doc_id].class_distance == pytest.approx(plain)
+    assert made[5000].word_distance > 0.45 > made[5001].word_distance
+
+
+def test_scripts_are_told_apart():
+    texts = ["привет мир " * 5, "γειά σου κόσμε " * 5, "שלום עולם " * 5, "مرحبا بالعالم " * 5, "你好世界 " * 5, "こんにちは " * 5, "안녕 세계 " * 5]
+    shapes = [quality_rules.class_histogram(t.encode()) for t in texts]
+    for i, x in enumerate(shapes):
+        for y in shapes[:i]:
+            assert quality_rules.js_distance(x, y) > 0.5
+
+
 def test_strange_texts_are_far_from_their_language(spark):
     rnd = random.Random(1)
     words = PROSE.split()
