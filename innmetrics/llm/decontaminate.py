@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innmetrics.llm.common import arrow_pass, bit_filter, passes, written
-from innmetrics.llm.quality_rules import letter_words
 
 SEED_WORDS = 4
 #: Bits of the filter that is sent to all tasks: 2 MB whatever the number of items.
@@ -25,9 +24,13 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SIMILARITY = 0.5
 
 
+# All bytes but those of ASCII letters and digits and of other characters become spaces.
+_WORDS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-case runs of letters; what stands between them doesn't count."""
-    return letter_words(text.lower().encode()) if text else []
+    """Lower-case runs of letters and digits; what stands between them doesn't count."""
+    return text.lower().encode().translate(_WORDS).split() if text else []
 
 
 def run_hashes(words: list[bytes]) -> np.ndarray:
@@ -44,20 +47,27 @@ def run_hashes(words: list[bytes]) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def item_runs(benchmark: DataFrame) -> DataFrame:
-    """item_id, at, run, n_words of every run of every item."""
+def numbered_items(benchmark: DataFrame) -> DataFrame:
+    """item, item_id, text: every different item with a number of its own. One id may
+    stand for several texts."""
+    items = benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct()
+    return written(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "text"), "items")
+
+
+def item_runs(items: DataFrame) -> DataFrame:
+    """item, at, run, n_words of every run of every item."""
 
     def step(ids, texts):
         rows = []
-        for item_id, text in zip(ids, texts):
+        for item, text in zip(ids, texts):
             words = words_of(text)
-            rows += [(item_id, at, int(run), len(words)) for at, run in enumerate(run_hashes(words))]
+            rows += [(item, at, int(run), len(words)) for at, run in enumerate(run_hashes(words))]
         return list(zip(*rows)) or [[], [], [], []]
 
     return arrow_pass(
-        benchmark.where("item_id IS NOT NULL"),
-        ["item_id", "text"],
-        "item_id BIGINT, at BIGINT, run BIGINT, n_words BIGINT",
+        items,
+        ["item", "text"],
+        "item BIGINT, at BIGINT, run BIGINT, n_words BIGINT",
         step,
     )
 
@@ -114,25 +124,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_similarity: float =
     ``similarity`` is the alignment score as a share of that of the whole item. Reads
     doc_id and text, item_id and text; other columns are ignored, null ids left out. Items
     of fewer than SEED_WORDS words can't be told from chance and are never found. Repeated
-    rows of one text or item give one row.
+    rows of one text or item give one row; of several texts of one item_id, each is looked
+    for, and the best score counts. An empty table on either side gives none.
     """
-    runs = written(item_runs(benchmark), "item-runs")
+    items = numbered_items(benchmark)
+    runs = written(item_runs(items), "item-runs")
     found = written(text_runs(docs, runs), "text-runs")
     places = (
         found.join(runs, "run")
-        .select("doc_id", "item_id", "n_words", (F.col("pos") - F.col("at")).alias("start"))
-        .groupBy("doc_id", "item_id", "n_words", F.floor(F.col("start") / F.col("n_words")).alias("part"))
+        .select("doc_id", "item", "n_words", (F.col("pos") - F.col("at")).alias("start"))
+        .groupBy("doc_id", "item", "n_words", F.floor(F.col("start") / F.col("n_words")).alias("part"))
         .agg(F.min("start").alias("low"), F.max("start").alias("high"))
     )
-    texts = benchmark.select("item_id", F.col("text").alias("item")).dropDuplicates(["item_id"])
     asked = (
-        places.join(texts, "item_id")
-        .select("doc_id", F.struct("item_id", "item", "n_words", "low", "high").alias("place"))
+        places.join(items.withColumnRenamed("text", "item_text"), "item")
+        .select("doc_id", F.struct("item_id", "item_text", "n_words", "low", "high").alias("place"))
         .groupBy("doc_id")
         .agg(F.collect_list("place").alias("places"))
         .select(
             "doc_id",
-            *[F.col(f"places.{c}").alias(f"{c}s") for c in ("item_id", "item", "n_words", "low", "high")],
+            *[F.col(f"places.{c}").alias(f"{c}s") for c in ("item_id", "item_text", "n_words", "low", "high")],
         )
     )
 
@@ -161,7 +172,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_similarity: float =
 
     aligned = arrow_pass(
         docs.select("doc_id", "text").join(asked, "doc_id"),
-        ["doc_id", "text", "item_ids", "items", "n_wordss", "lows", "highs"],
+        ["doc_id", "text", "item_ids", "item_texts", "n_wordss", "lows", "highs"],
         "doc_id BIGINT, item_id BIGINT, score BIGINT, similarity DOUBLE",
         step,
         256,

@@ -148,3 +148,39 @@ def test_leaks_are_found_beside_exact_copies(spark):
     benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id BIGINT, text STRING")
     found = {r.doc_id for r in decontaminate.contaminated(frame(spark, docs), benchmark).collect()}
     assert found == {0, 1, 2, 3, 10}
+
+
+def test_numbers_and_repeated_item_ids(spark):
+    """Digits are words, and each text of an item_id is looked for."""
+    items = [(1, "What is 12 + 45 * 3 = ?"), (1, "name the seven wizards who brew strong potions"), (2, "1 2 3")]
+    docs = [(1, "so: what is 12 + 45 * 3 = ? it is 147"), (2, "Name the seven wizards who brew strong potions!"),
+            (3, "what is 13 + 46 * 4"), (4, "1 2 3"), (5, "1 2 3 4 5")]
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    found = {(r.doc_id, r.item_id, round(r.similarity, 3)) for r in decontaminate.contaminated(frame(spark, docs), benchmark).collect()}
+    assert found == {(1, 1, 1.0), (2, 1, 1.0)}
+
+
+def test_leaks_equal_aligning_every_text_with_every_item(spark):
+    """Where four words in a row are shared, the result is that of all pairs."""
+    rnd = random.Random(31)
+    word = lambda: "".join(rnd.choices("abcdefgh12", k=3))
+    items = [(i, " ".join(word() for _ in range(rnd.randint(6, 25)))) for i in range(12)]
+    docs = []
+    for i in range(60):
+        words = items[rnd.randrange(12)][1].split()
+        for _ in range(rnd.randint(0, 6)):
+            at = rnd.randrange(len(words))
+            words[at : at + 1] = rnd.choice([[word()], [], [words[at], word()]])
+        docs.append((i, " ".join([word() for _ in range(rnd.randint(0, 9))] + words + [word() for _ in range(rnd.randint(0, 9))])))
+    expected = {}
+    for i, text in docs:
+        for j, item in items:
+            x, y = text.split(), item.split()
+            runs = {tuple(y[k : k + 4]) for k in range(len(y) - 3)}
+            if any(tuple(x[k : k + 4]) in runs for k in range(len(x) - 3)):
+                share = plain_smith_waterman(x, y) / (2 * len(y))
+                if share >= decontaminate.MIN_SIMILARITY:
+                    expected[i, j] = share
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    found = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(frame(spark, docs), benchmark).collect()}
+    assert found == expected and len(found) > 30
