@@ -8,29 +8,52 @@ each be a round trip to the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Prime modulus, 2**31 - 1; products of two residues stay below the bigint limit.
 MODULUS = 2_147_483_647
 
 
+def _mixed_sql(stream: int, *ids: str) -> str:
+    terms = [
+        f"pmod({name} + {name} div {MODULUS}L * 611953, {MODULUS}L) * {7919 + 7907 * stream + 104_729 * place}"
+        for place, name in enumerate(ids)
+    ]
+    return f"(({' + '.join(terms)} + {15_485_863 * (stream + 1)}) % {MODULUS}L)"
+
+
 def draw_sql(stream: int, *ids: str) -> str:
     """Uniform integer in [0, MODULUS) from integer columns; ``stream`` keeps draws apart.
+    Without ids it is the column that ``with_draws`` has made.
 
     Ids a modulus apart differ in their quotient, which is mixed in too. The fifth power
     permutes the residues of this prime, which breaks up the straight lines a plain linear
     mix would leave between two streams.
     """
-    terms = [
-        f"pmod({name} + {name} div {MODULUS}L * 611953, {MODULUS}L) * {7919 + 7907 * stream + 104_729 * place}"
-        for place, name in enumerate(ids)
-    ]
-    mixed = f"(({' + '.join(terms)} + {15_485_863 * (stream + 1)}) % {MODULUS}L)"
+    if not ids:
+        return f"_draw{stream}"
+    mixed = _mixed_sql(stream, *ids)
     square = f"({mixed} * {mixed} % {MODULUS}L)"
     return f"(({square} * {square} % {MODULUS}L) * {mixed} % {MODULUS}L)"
 
 
+def with_draws(rows: DataFrame, streams: Sequence[int], *ids: str) -> DataFrame:
+    """Adds the draws of several streams as columns, one step of the power after the other.
+
+    They come out of a generator of one row, which filters can't be moved across: a filter
+    on what is drawn would otherwise spell out all draws again, in a method that the JVM
+    will not compile.
+    """
+    mixed = rows.select("*", *[F.expr(_mixed_sql(s, *ids)).alias(f"_mixed{s}") for s in streams])
+    squared = mixed.select("*", *[F.expr(f"_mixed{s} * _mixed{s} % {MODULUS}L").alias(f"_square{s}") for s in streams])
+    power = "(_square{0} * _square{0} % {1}L) * _mixed{0} % {1}L"
+    drawn = F.struct(*[F.expr(power.format(s, MODULUS)).alias(f"_draw{s}") for s in streams])
+    return squared.select(*rows.columns, F.inline(F.array(drawn)))
+
+
 def draw(stream: int, *ids: str) -> Column:
     return F.expr(draw_sql(stream, *ids))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innmetrics.config import Config
-from innmetrics.functions.draws import choose, draw, first_below, scaled
+from innmetrics.functions.draws import choose, draw, first_below, scaled, with_draws
 from innmetrics.operators.dense_index import dense_index
 
 HOUR, DAY = 3600, 86_400
@@ -76,14 +76,13 @@ def chained_referrer(stream: int, *ids: str) -> Column:
 
 def booking_events(bookings: DataFrame) -> DataFrame:
     """Views before each booking, at random offsets within the planned windows."""
-    ids = ("booking_id", "event_seq")
-    offset = F.col("min_offset_seconds") + scaled(0, "(max_offset_seconds - min_offset_seconds)", *ids)
-    return planned_events(bookings).select(
+    offset = F.col("min_offset_seconds") + scaled(0, "(max_offset_seconds - min_offset_seconds)")
+    return with_draws(planned_events(bookings), range(6), "booking_id", "event_seq").select(
         "user_id",
         "property_id",
         F.lit("view").alias("event"),
         F.timestamp_seconds(F.unix_seconds("created_at") - offset).alias("timestamp"),
-        F.struct(chained_device(1, *ids).alias("device"), chained_referrer(3, *ids).alias("referrer")).alias(
+        F.struct(chained_device(1).alias("device"), chained_referrer(3).alias("referrer")).alias(
             "metadata"
         ),
     )
@@ -166,13 +165,14 @@ def browse_only_events(bookings: DataFrame, config: Config) -> DataFrame:
     ids = ("user_id", "event_num")
     span = int((config.browse_end - config.browse_start).total_seconds())
     start = F.unix_seconds(F.lit(config.browse_start.isoformat(sep=" ") + " UTC").cast("timestamp"))
-    views = users.select("*", number.alias("event_num")).select("*", choices).select(
+    drawn = with_draws(users.select("*", number.alias("event_num")).select("*", choices), range(14, 18), *ids)
+    views = drawn.select(
         "user_id",
-        scaled(14, "choices", *ids).alias("place"),
-        F.timestamp_seconds(start + scaled(15, span, *ids)).alias("timestamp"),
-        F.struct(
-            choose(16, DEVICE_SHARES, *ids).alias("device"), choose(17, REFERRER_SHARES, *ids).alias("referrer")
-        ).alias("metadata"),
+        scaled(14, "choices").alias("place"),
+        F.timestamp_seconds(start + scaled(15, span)).alias("timestamp"),
+        F.struct(choose(16, DEVICE_SHARES).alias("device"), choose(17, REFERRER_SHARES).alias("referrer")).alias(
+            "metadata"
+        ),
     )
     return views.join(properties, "place").select(
         "user_id", "property_id", F.lit("view").alias("event"), "timestamp", "metadata"
