@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 from helpers import ODD, frame
 from pyspark.sql import functions as F
 
@@ -149,3 +150,29 @@ def test_quality_of_odd_texts(spark):
     blank = quality_classifier.train(frame(spark, docs), labels.limit(0))
     assert all(abs(r.score - 0.5) < 0.1 for r in quality_classifier.score(frame(spark, ODD), blank).collect())
     assert quality_classifier.score(frame(spark, []), model).count() == 0
+
+
+def test_margins_are_the_sum_over_all_pairs():
+    """The sum-of-squares form against every pair of features."""
+    rng = np.random.default_rng(3)
+    size, rank = 40, 5
+    machine = quality_classifier.FactorisationMachine(
+        np.zeros((0, 3)), 0.7, rng.normal(size=size), rng.normal(size=(size, rank))
+    )
+    rows = [rng.integers(0, size, n) for n in (1, 2, 9, 30)]  # features may repeat within a row
+    values = [rng.normal(size=len(r)) for r in rows]
+    starts = np.cumsum([0, *map(len, rows)])[:-1]
+    found = machine.margins(np.concatenate(rows), np.concatenate(values), starts)
+    for margin, ids, x in zip(found, rows, values):
+        expected = machine.bias + sum(machine.linear[i] * v for i, v in zip(ids, x))
+        for a in range(len(ids)):
+            for b in range(a):
+                expected += machine.factors[ids[a]] @ machine.factors[ids[b]] * x[a] * x[b]
+        assert math.isclose(margin, expected, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_one_row_of_a_repeated_id_is_learned_from(spark):
+    docs = [(1, f"text number {i}") for i in range(50)] + [(2, "other")]
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id BIGINT, quality INT")
+    one, other = (quality_classifier.train(frame(spark, d), labels) for d in (docs, docs[::-1]))
+    assert np.array_equal(one.linear, other.linear)
